@@ -55,26 +55,21 @@ _SLASH_DATE = rf"^{_YEAR}/{_MONTH}/{_DAY}$"
 _DOT_TIME = rf"^({_DAY})\.({_MONTH})\.({_YEAR})\s+({_HOUR}):({_MINUTE})$"
 _DOT_DATE = rf"^({_DAY})\.({_MONTH})\.({_YEAR})$"
 
-def _as_iso(text: Column, zone: str) -> Column:
+def _as_iso(text: str, zone: str) -> Column:
     """(standard spelling?, ISO text) of a date cell; cells without an offset are read in ``zone``."""
-    midnight = F.lit(f"T00:00:00{zone}")
-
-    def spelled(standard: bool, iso: Column) -> Column:
-        return F.struct(F.lit(standard).alias("standard"), iso.alias("iso"))
-
-    return (
-        F.when(text.rlike(_ISO_INSTANT), spelled(True, F.translate(text, "t", "T")))
-        .when(text.rlike(_ISO_DATE), spelled(True, F.concat(text, midnight)))
-        .when(text.rlike(_SLASH_DATE), spelled(False, F.concat(F.translate(text, "/", "-"), midnight)))
-        .when(
-            text.rlike(_DOT_TIME),
-            spelled(False, F.regexp_replace(text, _DOT_TIME, f"$3-$2-$1T$4:$5:00{zone}")),
-        )
-        .when(
-            text.rlike(_DOT_DATE),
-            spelled(False, F.regexp_replace(text, _DOT_DATE, f"$3-$2-$1T00:00:00{zone}")),
-        )
+    midnight = f"'T00:00:00{zone}'"
+    forms = [
+        (_ISO_INSTANT, True, f"translate({text}, 't', 'T')"),
+        (_ISO_DATE, True, f"concat({text}, {midnight})"),
+        (_SLASH_DATE, False, f"concat(translate({text}, '/', '-'), {midnight})"),
+        (_DOT_TIME, False, f"regexp_replace({text}, r'{_DOT_TIME}', '$3-$2-$1T$4:$5:00{zone}')"),
+        (_DOT_DATE, False, f"regexp_replace({text}, r'{_DOT_DATE}', '$3-$2-$1T00:00:00{zone}')"),
+    ]
+    whens = " ".join(
+        f"when {text} rlike r'{pattern}' then named_struct('standard', {str(standard).lower()}, 'iso', {iso})"
+        for pattern, standard, iso in forms
     )
+    return F.expr(f"case {whens} end")
 
 
 def _channel_code(text: Column) -> Column:
@@ -88,9 +83,9 @@ def _number(text: Column) -> Column:
     return F.translate(text, "_", "").try_cast(PARSED_NUMBER)
 
 
-def _take_apart(kind: str | list[str], text: Column, zone: str) -> Column:
+def _take_apart(kind: str | list[str], column: str, text: Column, zone: str) -> Column:
     if kind in (TIMESTAMP, DATE):
-        return _as_iso(text, zone)
+        return _as_iso(f"`{column}__text`", zone)
     if kind == PHONE:
         return F.regexp_replace(text, r"\D", "")
     if kind == CHANNEL:
@@ -180,7 +175,7 @@ def clean(df: DataFrame, kinds: dict[str, str | list[str]], zone: str = DATA_TIM
     part = {c: F.col(f"{c}__part") for c in kinds}
     value = {c: F.col(f"{c}__v") for c in kinds}
     out = df.withColumns({f"{c}__text": text_or_null(c) for c in kinds})
-    out = out.withColumns({f"{c}__part": _take_apart(kind, text[c], zone) for c, kind in kinds.items()})
+    out = out.withColumns({f"{c}__part": _take_apart(kind, c, text[c], zone) for c, kind in kinds.items()})
     out = out.withColumns({f"{c}__v": _convert(kind, text[c], part[c]) for c, kind in kinds.items()})
     found: dict[str, Column] = {f"{c}__blank": text[c].isNull() for c in kinds}
     for c, kind in kinds.items():

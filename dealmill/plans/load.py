@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,35 +21,48 @@ from dealmill.sources.extracts import read_extracts
 from dealmill.sources.store import TableStore
 
 
-@dataclass(frozen=True)
 class Parents:
-    """Key tables that references are checked against."""
-
-    users: DataFrame
-    companies: DataFrame
-    contacts: DataFrame
-    products: DataFrame
-    stages: DataFrame
-    deals: DataFrame  # deal_id
-    deal_times: DataFrame  # deal_id, created_at of the version kept
-
-
-def parents_from_raw(raw: dict[str, DataFrame]) -> Parents:
-    """Keys straight from the raw tables: dictionaries lose no rows, deals lose only versions."""
-    versions = N.clean(
-        raw["deals"].select("id", "deal_id", "created_at", "updated_at"),
-        {"created_at": N.TIMESTAMP, "updated_at": N.TIMESTAMP},
-    ).select("id", "deal_id", F.col("created_at__v").alias("created_at"), "updated_at__v")
-    latest = latest_rows(versions, "deal_id", [F.col("updated_at__v").desc_nulls_last(), F.col("id").desc()])
-    return Parents(
-        users=N.clean(raw["users"], {"active": N.FLAG}).select("user_id", F.col("active__v").alias("active")),
-        companies=raw["companies"].select("company_id"),
-        contacts=raw["contacts"].select("contact_id"),
-        products=raw["products"].select("product_id"),
-        stages=raw["pipeline_stages"].select("stage_id"),
-        deals=raw["deals"].select("deal_id"),
-        deal_times=latest.select("deal_id", "created_at"),
-    )
+    """Key tables that references are checked against, each planned when first needed.
+
+    Keys come straight from the raw tables: dictionaries lose no rows, deals lose only versions.
+    """
+
+    def __init__(self, raw: Mapping[str, DataFrame]):
+        self.raw = raw
+
+    @cached_property
+    def users(self) -> DataFrame:
+        return N.clean(self.raw["users"], {"active": N.FLAG}).select("user_id", F.col("active__v").alias("active"))
+
+    @cached_property
+    def companies(self) -> DataFrame:
+        return self.raw["companies"].select("company_id")
+
+    @cached_property
+    def contacts(self) -> DataFrame:
+        return self.raw["contacts"].select("contact_id")
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.raw["products"].select("product_id")
+
+    @cached_property
+    def stages(self) -> DataFrame:
+        return self.raw["pipeline_stages"].select("stage_id")
+
+    @cached_property
+    def deals(self) -> DataFrame:
+        return self.raw["deals"].select("deal_id")
+
+    @cached_property
+    def deal_times(self) -> DataFrame:
+        """deal_id and created_at of the version that is kept."""
+        versions = N.clean(
+            self.raw["deals"].select("id", "deal_id", "created_at", "updated_at"),
+            {"created_at": N.TIMESTAMP, "updated_at": N.TIMESTAMP},
+        ).select("id", "deal_id", F.col("created_at__v").alias("created_at"), "updated_at__v")
+        latest = latest_rows(versions, "deal_id", [F.col("updated_at__v").desc_nulls_last(), F.col("id").desc()])
+        return latest.select("deal_id", "created_at")
 
 
 # Build order: parents before the rows that refer to them.
@@ -58,7 +73,7 @@ LOAD_ORDER = [
 
 
 def build(
-    table: str, raw: dict[str, DataFrame], parents: Parents, rows_per_task: int = ROWS_PER_TASK
+    table: str, raw: Mapping[str, DataFrame], parents: Parents, rows_per_task: int = ROWS_PER_TASK
 ) -> E.Result:
     """Typed table and issues of one entity."""
     rows, p, n = raw[table], parents, rows_per_task
@@ -81,10 +96,10 @@ def build(
 
 
 def run_transform(
-    raw: dict[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
+    raw: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """(typed tables, issue log) as lazy plans over the raw tables; nothing runs yet."""
-    parents = parents_from_raw(raw)
+    parents = Parents(raw)
     results = {table: build(table, raw, parents, rows_per_task) for table in LOAD_ORDER}
     core = {"sources": seed_sources(raw["users"].sparkSession)}
     core.update({table: result.core for table, result in results.items()})
@@ -123,7 +138,7 @@ def run_load(
     raw = {table: store.raw(table) for table in RAW_TABLES}
 
     work = store.begin_work(checkpoint_dir(spark))
-    parents = parents_from_raw(raw)
+    parents = Parents(raw)
     staged: dict[str, E.Result] = {}
     for table in LOAD_ORDER:
         result = build(table, raw, parents)

@@ -42,11 +42,14 @@ class Views(dict):
 
     def __init__(self, spark: SparkSession, sf_dir: str, texts: dict[str, str]):
         super().__init__()
-        self.spark, self.texts = spark, texts
-        for table in DRIVER_TABLES:
-            spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        self.spark, self.sf_dir, self.texts = spark, sf_dir, texts
+        self.read: set[str] = set()
 
     def __missing__(self, table: str) -> DataFrame:
+        for name in DRIVER_TABLES:
+            if name not in self.read and f"from {name}" in self.texts[table]:
+                self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+                self.read.add(name)
         df = self.spark.sql(self.texts[table])
         if self.texts is CORE and table in schemas.CORE_SCHEMAS:
             fields = schemas.CORE_SCHEMAS[table]
@@ -357,7 +360,7 @@ def _(raw: Views) -> DataFrame:
 def _(raw: Views) -> DataFrame:
     orders = N.clean(raw["production_orders"], {"created_at": N.TIMESTAMP})
     orders = orders.withColumn("created_at", F.col("created_at__v"))
-    deals = load.parents_from_raw(raw).deal_times
+    deals = load.Parents(raw).deal_times
     _, issues = flag_before_parent(
         orders, deals, "deal_id", "created_at", "created_at", "production_order", "production_order_id"
     )
@@ -397,9 +400,7 @@ def _(raw: Views) -> DataFrame:
 
 
 def _entity(raw: Views, table: str):
-    for name in schemas.RAW_TABLES:
-        raw[name]  # parents may be any table
-    return load.build(table, raw, load.parents_from_raw(raw))
+    return load.build(table, raw, load.Parents(raw))
 
 
 def _register_entity(table: str) -> None:
@@ -419,8 +420,6 @@ for _table in load.LOAD_ORDER:
 
 
 def _loaded(raw: Views) -> dict[str, DataFrame]:
-    for name in schemas.RAW_TABLES:
-        raw[name]
     return load.run_transform(raw)[0]
 
 
@@ -478,7 +477,7 @@ _ALL_TYPED = O.with_typed(*O.ALL) + ", log as (" + " union all ".join(
     from (values {_RECONCILED}) c("table", raw_rows, core_rows, quarantined)""")
 def _(raw: Views) -> DataFrame:
     core = _loaded(raw)
-    return K.reconcile_counts(raw, core, core["data_quality_issues"])
+    return K.reconcile_counts({t: raw[t] for t in schemas.RAW_TABLES}, core, core["data_quality_issues"])
 
 
 @register("run_summary", f"""{_ALL_TYPED}
