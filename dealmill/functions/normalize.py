@@ -1,43 +1,36 @@
-"""Cleaning of text cells as native column expressions; no Python runs per row.
+"""Cleaning of text cells as native SQL expressions; no Python runs per row.
 
-``clean`` normalises the named columns of a table.  It works in three projections (strip,
-take apart, convert), each a plain code-generated expression over the one before, so that no
-step is repeated within a row.  Parsing uses ``try_`` forms: a cell that cannot be read
-becomes NULL and never stops the job.
+``clean`` normalises the named columns of a table.  It works in four projections (strip, take
+apart, convert, describe), each a code-generated expression over the one before, so that no
+step is repeated within a row.  Parsing uses ``try_cast``: a cell that cannot be read becomes
+NULL and never stops the job.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from dealmill.schemas import DATA_TIME_ZONE, DEFAULT_CURRENCY, MONEY, SOURCE_ALIASES, SOURCE_SEED
 
 # Every character that counts as white space at the ends of a cell (Unicode, not only U+0020).
 WHITESPACE = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
+_WHITESPACE_SQL = "'" + "".join(f"\\u{ord(c):04x}" for c in WHITESPACE) + "'"
 
 PARSED_NUMBER = "decimal(38,10)"
 
 
-def _col(cell: Column | str) -> Column:
-    return F.col(cell) if isinstance(cell, str) else cell
-
-
-def strip(cell: Column | str) -> Column:
-    """Cell without white space at either end."""
-    return F.btrim(_col(cell), F.lit(WHITESPACE))
+def text_or_null(column: str) -> str:
+    """The cell without white space at either end; NULL when nothing is left."""
+    return f"nullif(btrim(`{column}`, {_WHITESPACE_SQL}), '')"
 
 
-def text_or_null(cell: Column | str) -> Column:
-    """Stripped cell; NULL when nothing is left."""
-    return F.nullif(strip(cell), F.lit(""))
+def is_blank(column: str) -> str:
+    """True for NULL and for cells of white space only."""
+    return f"({text_or_null(column)} is null)"
 
 
-def is_blank(cell: Column | str) -> Column:
-    """True for NULL and for cells of white space only."""
-    return text_or_null(cell).isNull()
+def quoted(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
 
 # ---------------------------------------------------------------- kinds of cells
@@ -45,6 +38,7 @@ def is_blank(cell: Column | str) -> Column:
 TIMESTAMP, DATE, AMOUNT, DISCOUNT, INTEGER, FLAG, TEXT, CURRENCY, CHANNEL, PHONE = (
     "timestamp", "date", "amount", "discount", "integer", "flag", "text", "currency", "channel", "phone"
 )
+Kind = str | list[str]  # one of the names above, or the allowed codes of a coded column
 
 # Patterns of the five accepted date spellings; only the first two are standard.
 _YEAR, _MONTH, _DAY = r"(?!0000)\d{4}", r"(?:1[0-2]|0?[1-9])", r"(?:3[01]|[12]\d|0?[1-9])"
@@ -55,7 +49,12 @@ _SLASH_DATE = rf"^{_YEAR}/{_MONTH}/{_DAY}$"
 _DOT_TIME = rf"^({_DAY})\.({_MONTH})\.({_YEAR})\s+({_HOUR}):({_MINUTE})$"
 _DOT_DATE = rf"^({_DAY})\.({_MONTH})\.({_YEAR})$"
 
-def _as_iso(text: str, zone: str) -> Column:
+# Patterns of whole numbers and of national phone numbers (digits only).
+_INTEGER = r"^[+-]?\d+(?:_\d+)*$"
+_NATIONAL_PHONE = r"^[78]\d{10}$"
+
+
+def _as_iso(text: str, zone: str) -> str:
     """(standard spelling?, ISO text) of a date cell; cells without an offset are read in ``zone``."""
     midnight = f"'T00:00:00{zone}'"
     forms = [
@@ -69,92 +68,77 @@ def _as_iso(text: str, zone: str) -> Column:
         f"when {text} rlike r'{pattern}' then named_struct('standard', {str(standard).lower()}, 'iso', {iso})"
         for pattern, standard, iso in forms
     )
-    return F.expr(f"case {whens} end")
-
-
-def _channel_code(text: Column) -> Column:
-    """Lower-cased channel in its canonical alphabet."""
-    key = F.lower(text)
-    aliases = reduce(lambda when, kv: when.when(key == kv[0], kv[1]), SOURCE_ALIASES.items(), F)
-    return aliases.otherwise(key)
-
-
-def _number(text: Column) -> Column:
-    return F.translate(text, "_", "").try_cast(PARSED_NUMBER)
+    return f"case {whens} end"
 
 
-def _take_apart(kind: str | list[str], column: str, text: Column, zone: str) -> Column:
+def _take_apart(kind: Kind, text: str, zone: str) -> str:
     if kind in (TIMESTAMP, DATE):
-        return _as_iso(f"`{column}__text`", zone)
+        return _as_iso(text, zone)
     if kind == PHONE:
-        return F.regexp_replace(text, r"\D", "")
+        return f"regexp_replace({text}, r'\\D', '')"
     if kind == CHANNEL:
-        return _channel_code(text)
+        aliases = " ".join(f"when '{spelling}' then '{code}'" for spelling, code in SOURCE_ALIASES.items())
+        return f"case lower({text}) {aliases} else lower({text}) end"
     if kind in (AMOUNT, DISCOUNT):
-        return _number(text)
+        return f"try_cast(translate({text}, '_', '') as {PARSED_NUMBER})"
     if kind == FLAG:
-        return F.lower(text)
+        return f"lower({text})"
     return text
 
 
-def _convert(kind: str | list[str], text: Column, part: Column) -> Column:
+def _convert(kind: Kind, text: str, part: str) -> str:
     if kind == TIMESTAMP:
-        return part["iso"].try_cast("timestamp")
+        return f"try_cast({part}.iso as timestamp)"
     if kind == DATE:
         # The date as written, whatever its offset, of a cell that is valid as a whole.
-        written = F.substring_index(part["iso"], "T", 1).try_cast("date")
-        return F.when(part["iso"].try_cast("timestamp").isNotNull(), written)
+        written = f"try_cast(substring_index({part}.iso, 'T', 1) as date)"
+        return f"case when try_cast({part}.iso as timestamp) is not null then {written} end"
     if kind == PHONE:
-        return F.when(part.rlike(_NATIONAL_PHONE), F.concat(F.lit("+7"), F.substring(part, 2, 10))).otherwise(text)
+        return f"case when {part} rlike r'{_NATIONAL_PHONE}' then concat('+7', substring({part}, 2)) else {text} end"
     if kind == DISCOUNT:
-        return F.coalesce(part, F.lit(0).cast(PARSED_NUMBER))
+        return f"coalesce({part}, cast(0 as {PARSED_NUMBER}))"
     if kind == CURRENCY:
-        return F.coalesce(text, F.lit(DEFAULT_CURRENCY))
+        return f"coalesce({text}, '{DEFAULT_CURRENCY}')"
     if kind == INTEGER:
-        return F.when(text.rlike(r"^[+-]?\d+(?:_\d+)*$"), F.translate(text, "_", "").try_cast("int"))
+        return f"case when {text} rlike r'{_INTEGER}' then try_cast(translate({text}, '_', '') as int) end"
     if kind == FLAG:
         # Accepted spellings; anything else is unknown, not false.
-        return F.when(part.isin("true", "1", "yes", "t"), F.lit(True)).when(
-            part.isin("false", "0", "no", "f"), F.lit(False)
+        return (
+            f"case when {part} in ('true', '1', 'yes', 't') then true "
+            f"when {part} in ('false', '0', 'no', 'f') then false end"
         )
     if isinstance(kind, list):
-        return F.when(text.isin(kind), text)
+        return f"case when {text} in ({quoted(kind)}) then {text} end"
     return part
 
 
-_NATIONAL_PHONE = r"^[78]\d{10}$"
-
-
-def _statuses(column: str, kind: str | list[str], text: Column, part: Column, value: Column) -> dict[str, Column]:
+def _describe(kind: Kind, text: str, part: str, value: str) -> dict[str, str]:
     """What was found out about a cell besides its value."""
+    out = {"blank": f"{text} is null"}
     if kind in (TIMESTAMP, DATE):
-        standard = F.coalesce(part["standard"], F.lit(False)) & value.isNotNull()
-        return {f"{column}__nonstandard": text.isNotNull() & ~standard}
-    if kind == PHONE:
-        status = (
-            F.when(text.isNull(), F.lit(None).cast("string"))
-            .when(~part.rlike(_NATIONAL_PHONE), F.lit("unrecognized"))
-            .when(~F.startswith(text, F.lit("+7")), F.lit("fixed"))
+        out["nonstandard"] = (
+            f"{text} is not null and not (coalesce({part}.standard, false) and {value} is not null)"
         )
-        return {f"{column}__status": status}
-    if kind == CHANNEL:
-        known = part.isin([code for code, _ in SOURCE_SEED])
-        ids = reduce(lambda w, row: w.when(part == row[1][0], F.lit(row[0])), enumerate(SOURCE_SEED, start=1), F)
-        return {
-            f"{column}__id": ids.otherwise(F.lit(None).cast("int")),
-            f"{column}__unknown": F.coalesce(~known, F.lit(False)),
-            f"{column}__rewritten": F.coalesce(known & (part != text), F.lit(False)),
-        }
-    if isinstance(kind, list):
-        return {f"{column}__invalid": text.isNotNull() & value.isNull()}
-    return {}
-
-
-def clean(df: DataFrame, kinds: dict[str, str | list[str]], zone: str = DATA_TIME_ZONE) -> DataFrame:
+    elif kind == PHONE:
+        out["status"] = (
+            f"case when {text} is null then cast(null as string) "
+            f"when not {part} rlike r'{_NATIONAL_PHONE}' then 'unrecognized' "
+            f"when not startswith({text}, '+7') then 'fixed' end"
+        )
+    elif kind == CHANNEL:
+        codes = [code for code, _ in SOURCE_SEED]
+        ids = " ".join(f"when '{code}' then {i}" for i, code in enumerate(codes, start=1))
+        out["id"] = f"case {part} {ids} end"
+        out["unknown"] = f"coalesce({part} not in ({quoted(codes)}), false)"
+        out["rewritten"] = f"coalesce({part} in ({quoted(codes)}) and {part} <> {text}, false)"
+    elif isinstance(kind, list):
+        out["invalid"] = f"{text} is not null and {value} is null"
+    return out
+
+
+def clean(df: DataFrame, kinds: dict[str, Kind], zone: str = DATA_TIME_ZONE) -> DataFrame:
     """``df`` with ``<column>__v`` (value), ``<column>__blank`` and statuses per named column.
 
-    A kind is one of the names above, or the list of allowed codes of a coded column.
-
     ==========  =====================================  =============================================
     kind        value                                  statuses
     ==========  =====================================  =============================================
@@ -171,17 +155,22 @@ def clean(df: DataFrame, kinds: dict[str, str | list[str]], zone: str = DATA_TIM
     codes       the code when it is allowed            ``__invalid``
     ==========  =====================================  =============================================
     """
-    text = {c: F.col(f"{c}__text") for c in kinds}
-    part = {c: F.col(f"{c}__part") for c in kinds}
-    value = {c: F.col(f"{c}__v") for c in kinds}
-    out = df.withColumns({f"{c}__text": text_or_null(c) for c in kinds})
-    out = out.withColumns({f"{c}__part": _take_apart(kind, c, text[c], zone) for c, kind in kinds.items()})
-    out = out.withColumns({f"{c}__v": _convert(kind, text[c], part[c]) for c, kind in kinds.items()})
-    found: dict[str, Column] = {f"{c}__blank": text[c].isNull() for c in kinds}
-    for c, kind in kinds.items():
-        found.update(_statuses(c, kind, text[c], part[c], value[c]))
-    out = out.withColumns(found)
-    return out.drop(*(f"{c}__text" for c in kinds), *(f"{c}__part" for c in kinds))
+
+    def step(table: DataFrame, columns: dict[str, str]) -> DataFrame:
+        return table.selectExpr("*", *(f"{expression} as `{name}`" for name, expression in columns.items()))
+
+    text = {c: f"`{c}__text`" for c in kinds}
+    part = {c: f"`{c}__part`" for c in kinds}
+    value = {c: f"`{c}__v`" for c in kinds}
+    out = step(df, {f"{c}__text": text_or_null(c) for c in kinds})
+    out = step(out, {f"{c}__part": _take_apart(kind, text[c], zone) for c, kind in kinds.items()})
+    out = step(out, {f"{c}__v": _convert(kind, text[c], part[c]) for c, kind in kinds.items()})
+    found = {
+        f"{c}__{name}": expression
+        for c, kind in kinds.items()
+        for name, expression in _describe(kind, text[c], part[c], value[c]).items()
+    }
+    return step(out, found).drop(*(f"{c}__text" for c in kinds), *(f"{c}__part" for c in kinds))
 
 
 def to_money(number: Column) -> Column:

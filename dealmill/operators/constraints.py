@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -65,7 +66,7 @@ def _broken_references(df: DataFrame, table: str, column: str, parent: str, pare
 
 
 def check_constraints(
-    tables: dict[str, DataFrame], specs: dict[str, Constraints] | None = None
+    tables: Mapping[str, DataFrame], specs: dict[str, Constraints] | None = None
 ) -> DataFrame:
     """(table, constraint, kind, violations) for every declared constraint of the given tables."""
     specs = CONSTRAINTS if specs is None else specs
@@ -86,7 +87,7 @@ def check_constraints(
     return union_all(found)
 
 
-def count_rows(tables: dict[str, DataFrame], label: str = "table") -> DataFrame:
+def count_rows(tables: Mapping[str, DataFrame], label: str = "table") -> DataFrame:
     """(table, rows) of each given table."""
     return union_all(
         [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias(label), "rows") for name, df in tables.items()]
@@ -94,7 +95,7 @@ def count_rows(tables: dict[str, DataFrame], label: str = "table") -> DataFrame:
 
 
 def reconcile_counts(
-    raw: dict[str, DataFrame], core: dict[str, DataFrame], issues: DataFrame
+    raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame], issues: DataFrame
 ) -> DataFrame:
     """Per table: raw rows, typed rows, quarantined rows, and whether they add up."""
     names = [t for t in RAW_TABLES if t in raw and t in core]
@@ -129,7 +130,7 @@ def count_by_action(issues: DataFrame) -> DataFrame:
     return counted.select(F.inline(rows))
 
 
-def run_summary(tables: dict[str, DataFrame]) -> DataFrame:
+def run_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
     """(kind, name, rows): typed tables first, then issues by action, zero-filled."""
     loaded = {t: tables[t] for t in CORE_TABLES if t in tables and t in ENTITY_OF_TABLE}
     by_table = count_rows(loaded, "name").select(F.lit("table").alias("kind"), "name", "rows")

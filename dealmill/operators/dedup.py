@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dealmill.operators.lookup import ROWS_PER_TASK, lookup, replicate
-from dealmill.operators.rules import issue_frame
+from dealmill.operators.rules import issue_columns
 
 
 class Split(NamedTuple):
@@ -67,19 +67,10 @@ def dedup_latest(
     losers = lookup(
         narrow.drop("__version"), winners, "__key", "__row", "inner", rows_per_task, counted
     ).where(F.col("__row") != F.col("__winner"))
-    issues = losers.select(
-        *issue_frame(
-            entity,
-            F.col(key),
-            issue_type,
-            "quarantined",
-            F.concat(
-                F.lit("replaced row id="), F.col("__row"),
-                F.lit(" (updated_at="), F.coalesce("__written", F.lit("NULL")),
-                F.lit("); kept id="), F.col("__winner"),
-            ),
-        )
+    details = (
+        "concat('replaced row id=', __row, ' (updated_at=', coalesce(__written, 'NULL'), '); kept id=', __winner)"
     )
+    issues = losers.selectExpr(*issue_columns(entity, key, issue_type, "quarantined", details))
     return Split(kept, issues)
 
 
@@ -98,7 +89,5 @@ def dedup_exact(
     """Keep the first of rows equal in ``columns``; log one issue per further copy."""
     groups = distinct_rows(df, columns, row_id)
     extra = replicate(groups.where(F.col("copies") > 1), F.col("copies") - 1)
-    issues = extra.select(
-        *issue_frame(entity, F.col(entity_id), issue_type, "quarantined", F.lit("identical row"))
-    )
+    issues = extra.selectExpr(*issue_columns(entity, entity_id, issue_type, "quarantined", "'identical row'"))
     return Split(groups.drop("copies"), issues)

@@ -29,7 +29,10 @@ def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> Dat
     partial = keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("__group")).agg(
         F.expr(f"approx_top_k_accumulate(__key, {_TRACKED_KEYS})").alias("sketch")
     )
-    merged = partial.agg(F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch"))
+    # Grouped by a constant: merging without a group fails on tasks that hold no sketch.
+    merged = partial.groupBy(F.lit(0).alias("__all")).agg(
+        F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch")
+    )
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("top"))
     return top.where(F.col("top.count") > rows_per_task).select(
         F.col("top.item").alias(key),

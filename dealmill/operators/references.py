@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealmill.functions.normalize import is_blank
 from dealmill.operators.dedup import Split
 from dealmill.operators.lookup import ROWS_PER_TASK, lookup
-from dealmill.operators.rules import issue_frame
+from dealmill.operators.rules import issue_columns
 
 
 def mark_reference(
@@ -41,14 +41,14 @@ def mark_reference(
     return found.withColumn(hit, F.coalesce(F.col(hit), F.lit(False)))
 
 
-def resolved(column: str, hit: str) -> Column:
+def resolved(column: str, hit: str) -> str:
     """The reference where its parent exists, else NULL."""
-    return F.when(F.col(hit), F.col(column))
+    return f"if({hit}, {column}, null)"
 
 
-def is_orphan(column: str, hit: str) -> Column:
+def is_broken(column: str, hit: str) -> str:
     """A reference is written but its parent does not exist."""
-    return ~is_blank(column) & ~F.col(hit)
+    return f"not {is_blank(column)} and not {hit}"
 
 
 def resolve_fk(
@@ -66,11 +66,11 @@ def resolve_fk(
     marked = mark_reference(
         df, column, parents, parent_key, "__hit", spread_by=spread_by, rows_per_task=rows_per_task
     )
-    out = marked.withColumn(column, resolved(column, "__hit")).drop("__hit")
+    out = marked.withColumn(column, F.expr(resolved(column, "__hit"))).drop("__hit")
     if issue_type is None:
         return out, None
-    issues = marked.where(is_orphan(column, "__hit")).select(
-        *issue_frame(entity, F.col(entity_id), issue_type, "flagged", F.col(column))
+    issues = marked.where(is_broken(column, "__hit")).selectExpr(
+        *issue_columns(entity, entity_id, issue_type, "flagged", column)
     )
     return out, issues
 
@@ -91,8 +91,8 @@ def quarantine_orphans(
         df, column, parents, parent_key, "__hit", spread_by=spread_by, rows_per_task=rows_per_task
     )
     kept = marked.where(F.col("__hit")).drop("__hit")
-    issues = marked.where(~F.col("__hit")).select(
-        *issue_frame(entity, F.col(entity_id), issue_type, "quarantined", F.col(column))
+    issues = marked.where(~F.col("__hit")).selectExpr(
+        *issue_columns(entity, entity_id, issue_type, "quarantined", column)
     )
     return Split(kept, issues)
 
@@ -121,10 +121,9 @@ def resolve_canonical(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with ``canonical_id``, duplicate_sku issues); duplicates stay in the table."""
     out = mark_canonical(df, pk, business_key, rows_per_task=rows_per_task)
-    issues = out.where(F.col("canonical_id").isNotNull()).select(
-        *issue_frame(
-            entity, F.col(pk), "duplicate_sku", "flagged",
-            F.concat(F.lit("SKU "), F.col(business_key), F.lit(" repeats "), F.col("canonical_id")),
+    issues = out.where(F.col("canonical_id").isNotNull()).selectExpr(
+        *issue_columns(
+            entity, pk, "duplicate_sku", "flagged", f"concat('SKU ', {business_key}, ' repeats ', canonical_id)"
         )
     )
     return out, issues
@@ -147,10 +146,10 @@ def flag_before_parent(
     )
     early = F.coalesce(F.col(child_time) < F.col("__parent_time"), F.lit(False))
     out = marked.withColumn("has_quality_issue", early).drop("__hit", "__parent_time")
-    issues = marked.where(early).select(
-        *issue_frame(
-            entity, F.col(entity_id), issue_type, "flagged",
-            F.concat_ws(" before ", F.to_date(child_time), F.to_date("__parent_time")),
+    issues = marked.where(early).selectExpr(
+        *issue_columns(
+            entity, entity_id, issue_type, "flagged",
+            f"concat(to_date({child_time}), ' before ', to_date(__parent_time))",
         )
     )
     return out, issues

@@ -1,14 +1,18 @@
-"""Row rules, the issue log they feed and the row flag that follows from it."""
+"""Row rules, the issue log they feed and the row flag that follows from it.
+
+Rules are SQL expressions over the columns of one table, so that all rules of a table are
+evaluated in the projection that also types its columns.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dealmill.functions.normalize import quoted
 from dealmill.schemas import ISSUE_SCHEMA, TRANSITIONS
 
 # Re-spelling a channel is cosmetic: logged, but the row itself is not marked.
@@ -21,40 +25,36 @@ class Rule:
 
     issue_type: str
     action: str
-    when: Column
-    details: Column | None = None
+    when: str
+    details: str = "null"
 
 
-def issue_frame(entity: str, entity_id: Column, issue_type: str, action: str, details: Column | None = None):
-    """The five issue columns, in log order."""
-    text = F.lit(None) if details is None else details
+def issue_columns(entity: str, entity_id: str, issue_type: str, action: str, details: str = "null") -> list[str]:
+    """The five issue columns, in log order, as SQL; the two ids and texts are expressions."""
     return [
-        F.lit(entity).alias("entity"),
-        entity_id.cast("string").alias("entity_id"),
-        F.lit(issue_type).alias("issue_type"),
-        F.lit(action).alias("action"),
-        text.cast("string").alias("details"),
+        f"'{entity}' as entity",
+        f"cast({entity_id} as string) as entity_id",
+        f"'{issue_type}' as issue_type",
+        f"'{action}' as action",
+        f"cast({details} as string) as details",
     ]
 
 
-def issues_of(entity: str, entity_id: Column, rules: list[Rule]) -> Column:
+def issues_of(entity: str, entity_id: str, rules: list[Rule]) -> str:
     """Array of the issues one row raises, found in the same scan as the row itself."""
     if not rules:
-        return F.array().cast(f"array<{ISSUE_SCHEMA.simpleString()}>")
-    return F.array_compact(
-        F.array(
-            *(
-                F.when(r.when, F.struct(*issue_frame(entity, entity_id, r.issue_type, r.action, r.details)))
-                for r in rules
-            )
-        )
+        return f"cast(array() as array<{ISSUE_SCHEMA.simpleString()}>)"
+    structs = (
+        f"if({r.when}, struct({', '.join(issue_columns(entity, entity_id, r.issue_type, r.action, r.details))}), null)"
+        for r in rules
     )
+    return f"array_compact(array({', '.join(structs)}))"
 
 
-def has_quality_issue(rules: list[Rule]) -> Column:
+def has_quality_issue(rules: list[Rule]) -> str:
     """True when any rule fires that is not merely cosmetic."""
-    checks = [F.coalesce(r.when, F.lit(False)) for r in rules if r.issue_type not in COSMETIC]
-    return reduce(or_, checks, F.lit(False))
+    checks = [f"coalesce({r.when}, false)" for r in rules if r.issue_type not in COSMETIC]
+    return " or ".join(checks) or "false"
 
 
 def explode_issues(df: DataFrame, column: str = "_issues") -> DataFrame:
@@ -63,22 +63,21 @@ def explode_issues(df: DataFrame, column: str = "_issues") -> DataFrame:
 
 
 def apply_rules(
-    df: DataFrame, entity: str, entity_id: Column, rules: list[Rule]
+    df: DataFrame, entity: str, entity_id: str, rules: list[Rule]
 ) -> tuple[DataFrame, DataFrame]:
     """(rows with ``has_quality_issue``, issues)."""
-    flagged = df.withColumn("has_quality_issue", has_quality_issue(rules))
-    issues = explode_issues(df.select(issues_of(entity, entity_id, rules).alias("_issues")))
+    flagged = df.selectExpr("*", f"{has_quality_issue(rules)} as has_quality_issue")
+    issues = explode_issues(df.selectExpr(f"{issues_of(entity, entity_id, rules)} as _issues"))
     return flagged, issues
 
 
-def is_illegal_transition(old: Column, new: Column) -> Column:
+def is_illegal_transition(old: str, new: str) -> str:
     """True when both stages are set and the step between them is not one of the allowed.
 
     A first entry (no old stage) is no transition; staying in a stage is not allowed; from a
     stage outside the map nothing is allowed.
     """
-    step = F.concat(old, F.lit(">"), new)
-    return step.isNotNull() & ~step.isin([f"{a}>{b}" for a, b in TRANSITIONS])
+    return f"concat({old}, '>', {new}) not in ({quoted(f'{a}>{b}' for a, b in TRANSITIONS)})"
 
 
 def flag_illegal_transitions(
@@ -86,10 +85,9 @@ def flag_illegal_transitions(
 ) -> tuple[DataFrame, DataFrame]:
     """(history with ``has_quality_issue``, illegal_transition issues)."""
     rule = Rule(
-        "illegal_transition", "flagged", is_illegal_transition(F.col(old), F.col(new)),
-        F.concat(F.col(old), F.lit(" -> "), F.col(new)),
+        "illegal_transition", "flagged", is_illegal_transition(old, new), f"concat({old}, ' -> ', {new})"
     )
-    return apply_rules(history, "stage_history", F.col(entity_id), [rule])
+    return apply_rules(history, "stage_history", entity_id, [rule])
 
 
 def issue_log(frames: list[DataFrame]) -> DataFrame:

@@ -9,19 +9,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dealmill.functions import normalize as N
 from dealmill.operators.dedup import dedup_latest, distinct_rows
 from dealmill.operators.lookup import ROWS_PER_TASK, replicate
-from dealmill.operators.references import mark_canonical, mark_reference, resolved
+from dealmill.operators.references import is_broken, mark_canonical, mark_reference, resolved
 from dealmill.operators.rules import (
     Rule,
     explode_issues,
     has_quality_issue,
     is_illegal_transition,
-    issue_frame,
+    issue_columns,
     issues_of,
 )
 from dealmill.schemas import (
@@ -62,11 +62,9 @@ class Result:
         """Further copies of a kept row are duplicates; those of an orphan are orphans too."""
         key = CORE_SCHEMAS[self.table].names[0]
         folded = self.marked.where(F.col("_copies") > 1).select(key, "deal_id", "_keep", "_copies")
-        kind = F.when(F.col("_keep"), F.lit("duplicate_event")).otherwise(F.lit("orphan_deal"))
-        text = F.when(F.col("_keep"), F.lit("identical row")).otherwise(F.col("deal_id"))
-        columns = issue_frame(self.entity, F.col(key), "", "quarantined", text)
-        columns[2] = kind.alias("issue_type")
-        return replicate(folded.select(*columns, "_copies"), F.col("_copies") - 1).drop("_copies")
+        columns = issue_columns(self.entity, key, "", "quarantined", "if(_keep, 'identical row', deal_id)")
+        columns[2] = "if(_keep, 'duplicate_event', 'orphan_deal') as issue_type"
+        return replicate(folded.selectExpr(*columns, "_copies"), F.col("_copies") - 1).drop("_copies")
 
     def read_from(self, marked: DataFrame) -> Result:
         """The same result over a stored copy of the marked table."""
@@ -77,8 +75,8 @@ def _mark(
     df: DataFrame,
     table: str,
     entity: str,
-    entity_id: Column,
-    typed: dict[str, Column],
+    entity_id: str,
+    typed: dict[str, str],
     rules: list[Rule],
     drop_rules: list[Rule] | None = None,
 ) -> DataFrame:
@@ -88,57 +86,48 @@ def _mark(
     Each rule is evaluated once, into a column that flag and issues both read.
     """
     drops = drop_rules or []
-    fired = {f"__rule{i}": F.coalesce(r.when, F.lit(False)) for i, r in enumerate(drops + rules)}
-    df = df.withColumns(fired) if fired else df
-    names = list(fired)
+    names = [f"__rule{i}" for i in range(len(drops) + len(rules))]
+    df = df.selectExpr("*", *(f"coalesce({r.when}, false) as {n}" for n, r in zip(names, drops + rules)))
 
-    keep: Column = F.lit(True)
+    keep = "true"
     found: list[Rule] = []
     for name, rule in zip(names, drops):
-        found.append(Rule(rule.issue_type, rule.action, keep & F.col(name), rule.details))
-        keep = keep & ~F.col(name)
+        found.append(Rule(rule.issue_type, rule.action, f"({keep} and {name})", rule.details))
+        keep = f"{keep} and not {name}"
     checked = [
-        Rule(r.issue_type, r.action, keep & F.col(name) if drops else F.col(name), r.details)
+        Rule(r.issue_type, r.action, f"({keep} and {name})" if drops else name, r.details)
         for name, r in zip(names[len(drops):], rules)
     ]
     typed = {"has_quality_issue": has_quality_issue(checked), **typed}
     columns = [
-        typed.get(f.name, F.col(f.name) if f.name in df.columns else None).cast(f.dataType).alias(f.name)
+        f"cast({typed.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"
         for f in CORE_SCHEMAS[table]
     ]
-    columns += [keep.alias("_keep"), issues_of(entity, entity_id, found + checked).alias("_issues")]
+    columns += [f"{keep} as _keep", f"{issues_of(entity, entity_id, found + checked)} as _issues"]
     if "_copies" in df.columns:
-        columns.append(F.col("_copies"))
-    return df.select(*columns)
+        columns.append("_copies")
+    return df.selectExpr(*columns)
 
 
-def _v(column: str) -> Column:
-    return F.col(f"{column}__v")
-
-
-def _blank(column: str) -> Column:
-    return F.col(f"{column}__blank")
-
-
-def _arrow(before: Column, after: Column) -> Column:
-    return F.concat(before, F.lit(" -> "), after)
+def _values(*columns: str) -> dict[str, str]:
+    """The cleaned value of each column."""
+    return {column: f"{column}__v" for column in columns}
 
 
 def _orphan(column: str, hit: str, issue_type: str) -> Rule:
     """A row without its parent is dropped; a missing key counts as missing parent."""
-    return Rule(issue_type, "quarantined", ~F.col(hit), F.col(column))
+    return Rule(issue_type, "quarantined", f"not {hit}", column)
 
 
-def _broken(column: str, hit: str, issue_type: str, blank: Column | None = None) -> Rule:
+def _broken(column: str, hit: str, issue_type: str) -> Rule:
     """A written reference without parent is nulled and flagged; a blank one is no reference."""
-    written = ~(N.is_blank(column) if blank is None else blank)
-    return Rule(issue_type, "flagged", written & ~F.col(hit), F.col(column))
+    return Rule(issue_type, "flagged", is_broken(column, hit), column)
 
 
 def _channel_rules(column: str) -> list[Rule]:
     return [
-        Rule("unknown_source", "flagged", F.col(f"{column}__unknown"), F.col(column)),
-        Rule("normalized_source", "fixed", F.col(f"{column}__rewritten"), _arrow(F.col(column), _v(column))),
+        Rule("unknown_source", "flagged", f"{column}__unknown", column),
+        Rule("normalized_source", "fixed", f"{column}__rewritten", f"concat({column}, ' -> ', {column}__v)"),
     ]
 
 
@@ -147,7 +136,7 @@ def _channel_rules(column: str) -> list[Rule]:
 
 def build_users(raw: DataFrame) -> Result:
     df = N.clean(raw, {"active": N.FLAG})
-    marked = _mark(df, "users", "user", F.col("user_id"), {"active": _v("active")}, [])
+    marked = _mark(df, "users", "user", "user_id", {"active": "active__v"}, [])
     return Result("users", "user", marked)
 
 
@@ -155,31 +144,30 @@ def build_companies(raw: DataFrame) -> Result:
     df = N.clean(raw, {"name": N.TEXT, "inn": N.TEXT, "industry": N.TEXT, "created_at": N.TIMESTAMP})
     rules = [
         Rule(
-            "incomplete_company", "flagged", _blank("name") & _blank("inn") & _blank("industry"),
-            F.lit("no name, inn or industry"),
+            "incomplete_company", "flagged", "name__blank and inn__blank and industry__blank",
+            "'no name, inn or industry'",
         )
     ]
-    typed = {"inn": _v("inn"), "created_at": _v("created_at")}
-    marked = _mark(df, "companies", "company", F.col("company_id"), typed, rules)
+    typed = {"inn": "inn__v", "created_at": "created_at__v"}
+    marked = _mark(df, "companies", "company", "company_id", typed, rules)
     return Result("companies", "company", marked)
 
 
 def build_contacts(raw: DataFrame, companies: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
     df = mark_reference(raw, "company_id", companies, "company_id", "_company", rows_per_task=rows_per_task)
     df = N.clean(df, {"phone": N.PHONE, "email": N.TEXT, "created_at": N.TIMESTAMP})
-    status = F.col("phone__status")
     rules = [
         _broken("company_id", "_company", "orphan_company"),
-        Rule("normalized_phone", "fixed", status == "fixed", _arrow(F.col("phone"), _v("phone"))),
-        Rule("unnormalized_phone", "flagged", status == "unrecognized", F.col("phone")),
-        Rule("missing_email", "flagged", _blank("email")),
+        Rule("normalized_phone", "fixed", "phone__status = 'fixed'", "concat(phone, ' -> ', phone__v)"),
+        Rule("unnormalized_phone", "flagged", "phone__status = 'unrecognized'", "phone"),
+        Rule("missing_email", "flagged", "email__blank"),
     ]
     typed = {
         "company_id": resolved("company_id", "_company"),
-        "phone": _v("phone"),
-        "created_at": _v("created_at"),
+        "phone": "phone__v",
+        "created_at": "created_at__v",
     }
-    marked = _mark(df, "contacts", "contact", F.col("contact_id"), typed, rules)
+    marked = _mark(df, "contacts", "contact", "contact_id", typed, rules)
     return Result("contacts", "contact", marked)
 
 
@@ -188,19 +176,19 @@ def build_products(raw: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result
     df = N.clean(df, {"cost_price": N.AMOUNT, "is_active": N.FLAG})
     rules = [
         Rule(
-            "duplicate_sku", "flagged", F.col("canonical_id").isNotNull(),
-            F.concat(F.lit("SKU "), F.col("sku"), F.lit(" repeats "), F.col("canonical_id")),
+            "duplicate_sku", "flagged", "canonical_id is not null",
+            "concat('SKU ', sku, ' repeats ', canonical_id)",
         )
     ]
-    typed = {"cost_price": _v("cost_price"), "is_active": _v("is_active")}
-    marked = _mark(df, "products", "product", F.col("product_id"), typed, rules)
+    typed = {"cost_price": "cost_price__v", "is_active": "is_active__v"}
+    marked = _mark(df, "products", "product", "product_id", typed, rules)
     return Result("products", "product", marked)
 
 
 def build_pipeline_stages(raw: DataFrame) -> Result:
     df = N.clean(raw, {"sort_order": N.INTEGER, "is_final": N.FLAG, "is_success": N.FLAG})
-    typed = {name: _v(name) for name in ("sort_order", "is_final", "is_success")}
-    marked = _mark(df, "pipeline_stages", "pipeline_stage", F.col("stage_id"), typed, [])
+    typed = _values("sort_order", "is_final", "is_success")
+    marked = _mark(df, "pipeline_stages", "pipeline_stage", "stage_id", typed, [])
     return Result("pipeline_stages", "pipeline_stage", marked)
 
 
@@ -240,38 +228,35 @@ def build_deals(
     )
     rules = [
         *_channel_rules("source"),
-        _broken("stage_id", "_stage", "orphan_stage", _blank("stage_id")),
-        Rule("missing_manager", "flagged", _blank("manager_id")),
-        _broken("manager_id", "_manager", "orphan_manager", _blank("manager_id")),
+        _broken("stage_id", "_stage", "orphan_stage"),
+        Rule("missing_manager", "flagged", "manager_id__blank"),
+        _broken("manager_id", "_manager", "orphan_manager"),
         Rule(
             "inactive_manager", "flagged",
-            ~_blank("manager_id") & F.col("_manager") & (F.col("_active") == F.lit(False)),
-            F.col("manager_id"),
+            "not manager_id__blank and _manager and _active = false", "manager_id",
         ),
-        Rule("missing_company", "flagged", _blank("company_id")),
-        _broken("company_id", "_company", "orphan_company", _blank("company_id")),
-        _broken("contact_id", "_contact", "orphan_contact", _blank("contact_id")),
-        Rule("negative_amount", "flagged", _v("expected_amount") < 0, F.col("expected_amount")),
-        Rule("missing_currency", "fixed", _blank("currency"), F.lit(f"-> {DEFAULT_CURRENCY}")),
+        Rule("missing_company", "flagged", "company_id__blank"),
+        _broken("company_id", "_company", "orphan_company"),
+        _broken("contact_id", "_contact", "orphan_contact"),
+        Rule("negative_amount", "flagged", "expected_amount__v < 0", "expected_amount"),
+        Rule("missing_currency", "fixed", "currency__blank", f"'-> {DEFAULT_CURRENCY}'"),
         Rule(
-            "nonstandard_date", "fixed", F.col("created_at__nonstandard"),
-            F.concat(F.lit("created_at="), F.col("created_at")),
+            "nonstandard_date", "fixed", "created_at__nonstandard", "concat('created_at=', created_at)",
         ),
         Rule(
             "won_without_close_date", "flagged",
-            F.col("_stage") & (F.col("stage_id") == "WON") & _blank("closed_at"),
+            "_stage and stage_id = 'WON' and closed_at__blank",
         ),
     ]
     typed = {
-        **{name: _v(name) for name in ("created_at", "updated_at", "closed_at", "custom_deadline",
-                                       "expected_amount", "currency")},
+        **_values("created_at", "updated_at", "closed_at", "custom_deadline", "expected_amount", "currency"),
         "stage_id": resolved("stage_id", "_stage"),
         "manager_id": resolved("manager_id", "_manager"),
         "company_id": resolved("company_id", "_company"),
         "contact_id": resolved("contact_id", "_contact"),
-        "source_id": F.col("source__id"),
+        "source_id": "source__id",
     }
-    marked = _mark(df, "deals", "deal", F.col("deal_id"), typed, rules)
+    marked = _mark(df, "deals", "deal", "deal_id", typed, rules)
     return Result("deals", "deal", marked, versions.issues)
 
 
@@ -288,15 +273,14 @@ def build_deal_products(
     df = N.clean(df, {"quantity": N.AMOUNT, "unit_price": N.AMOUNT, "discount": N.DISCOUNT})
     rules = [
         Rule(
-            "discount_exceeds_line", "flagged", _v("discount") > _v("quantity") * _v("unit_price"),
-            F.concat_ws(" ", F.lit("discount"), F.col("discount"), F.lit(">"), F.col("quantity"), F.lit("x"),
-                        F.col("unit_price")),
+            "discount_exceeds_line", "flagged", "discount__v > quantity__v * unit_price__v",
+            "concat('discount ', discount, ' > ', quantity, ' x ', unit_price)",
         )
     ]
-    typed = {name: _v(name) for name in ("quantity", "unit_price", "discount")}
+    typed = _values("quantity", "unit_price", "discount")
     drops = [_orphan("deal_id", "_deal", "orphan_deal"), _orphan("product_id", "_product", "orphan_product")]
     # The log names a line by its deal: lines have no key of their own.
-    marked = _mark(df, "deal_products", "deal_product", F.col("deal_id"), typed, rules, drops)
+    marked = _mark(df, "deal_products", "deal_product", "deal_id", typed, rules, drops)
     return Result("deal_products", "deal_product", marked)
 
 
@@ -307,17 +291,16 @@ def build_payments(raw: DataFrame, deals: DataFrame, rows_per_task: int = ROWS_P
         {"payment_date": N.DATE, "amount": N.AMOUNT, "payment_type": PAYMENT_TYPES, "status": PAYMENT_STATUSES},
     )
     rules = [
-        Rule("invalid_payment_type", "flagged", F.col("payment_type__invalid"), F.col("payment_type")),
-        Rule("invalid_payment_status", "flagged", F.col("status__invalid"), F.col("status")),
-        Rule("unknown_payment_type", "flagged", _v("payment_type") == "unknown", _v("payment_type")),
+        Rule("invalid_payment_type", "flagged", "payment_type__invalid", "payment_type"),
+        Rule("invalid_payment_status", "flagged", "status__invalid", "status"),
+        Rule("unknown_payment_type", "flagged", "payment_type__v = 'unknown'", "payment_type__v"),
         Rule(
-            "nonstandard_date", "fixed", F.col("payment_date__nonstandard"),
-            F.concat(F.lit("payment_date="), F.col("payment_date")),
+            "nonstandard_date", "fixed", "payment_date__nonstandard", "concat('payment_date=', payment_date)",
         ),
     ]
-    typed = {name: _v(name) for name in ("payment_date", "amount", "payment_type", "status")}
+    typed = _values("payment_date", "amount", "payment_type", "status")
     drops = [_orphan("deal_id", "_deal", "orphan_deal")]
-    marked = _mark(df, "payments", "payment", F.col("payment_id"), typed, rules, drops)
+    marked = _mark(df, "payments", "payment", "payment_id", typed, rules, drops)
     return Result("payments", "payment", marked)
 
 
@@ -336,17 +319,17 @@ def build_stage_history(
     df = N.clean(df, {"changed_at": N.TIMESTAMP})
     old, new = resolved("old_stage_id", "_old"), resolved("new_stage_id", "_new")
     rules = [
-        Rule("illegal_transition", "flagged", is_illegal_transition(old, new), _arrow(old, new)),
+        Rule("illegal_transition", "flagged", is_illegal_transition(old, new), f"concat({old}, ' -> ', {new})"),
         _broken("changed_by_id", "_user", "orphan_user"),
     ]
     typed = {
         "old_stage_id": old,
         "new_stage_id": new,
-        "changed_at": _v("changed_at"),
+        "changed_at": "changed_at__v",
         "changed_by_id": resolved("changed_by_id", "_user"),
     }
     drops = [_orphan("deal_id", "_deal", "orphan_deal")]
-    marked = _mark(df, "stage_history", "stage_history", F.col("event_id"), typed, rules, drops)
+    marked = _mark(df, "stage_history", "stage_history", "event_id", typed, rules, drops)
     return Result("stage_history", "stage_history", marked)
 
 
@@ -363,13 +346,13 @@ def build_activities(
          "deadline_at": N.TIMESTAMP, "completed_at": N.TIMESTAMP},
     )
     rules = [
-        Rule("invalid_activity_type", "flagged", F.col("activity_type__invalid"), F.col("activity_type")),
+        Rule("invalid_activity_type", "flagged", "activity_type__invalid", "activity_type"),
         _broken("responsible_user_id", "_user", "orphan_user"),
     ]
-    typed = {name: _v(name) for name in ("activity_type", "direction", "completed", "deadline_at", "completed_at")}
+    typed = _values("activity_type", "direction", "completed", "deadline_at", "completed_at")
     typed["responsible_user_id"] = resolved("responsible_user_id", "_user")
     drops = [_orphan("deal_id", "_deal", "orphan_deal")]
-    marked = _mark(df, "activities", "activity", F.col("activity_id"), typed, rules, drops)
+    marked = _mark(df, "activities", "activity", "activity_id", typed, rules, drops)
     return Result("activities", "activity", marked)
 
 
@@ -384,16 +367,16 @@ def build_production_orders(raw: DataFrame, deals: DataFrame, rows_per_task: int
          "status": PRODUCTION_STATUSES},
     )
     rules = [
-        Rule("invalid_production_status", "flagged", F.col("status__invalid"), F.col("status")),
+        Rule("invalid_production_status", "flagged", "status__invalid", "status"),
         Rule(
-            "temporal_inconsistency", "flagged", _v("created_at") < F.col("_deal_created"),
-            F.concat_ws(" before ", F.to_date(_v("created_at")), F.to_date("_deal_created")),
+            "temporal_inconsistency", "flagged", "created_at__v < _deal_created",
+            "concat(to_date(created_at__v), ' before ', to_date(_deal_created))",
         ),
     ]
-    typed = {name: _v(name) for name in ("created_at", "planned_finish_at", "actual_finish_at", "status")}
+    typed = _values("created_at", "planned_finish_at", "actual_finish_at", "status")
     drops = [_orphan("deal_id", "_deal", "orphan_deal")]
     marked = _mark(
-        df, "production_orders", "production_order", F.col("production_order_id"), typed, rules, drops
+        df, "production_orders", "production_order", "production_order_id", typed, rules, drops
     )
     return Result("production_orders", "production_order", marked)
 
@@ -401,10 +384,10 @@ def build_production_orders(raw: DataFrame, deals: DataFrame, rows_per_task: int
 def build_shipments(raw: DataFrame, deals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
     df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", rows_per_task=rows_per_task)
     df = N.clean(df, {"planned_date": N.DATE, "actual_date": N.DATE, "status": SHIPMENT_STATUSES})
-    rules = [Rule("invalid_shipment_status", "flagged", F.col("status__invalid"), F.col("status"))]
-    typed = {name: _v(name) for name in ("planned_date", "actual_date", "status")}
+    rules = [Rule("invalid_shipment_status", "flagged", "status__invalid", "status")]
+    typed = _values("planned_date", "actual_date", "status")
     drops = [_orphan("deal_id", "_deal", "orphan_deal")]
-    marked = _mark(df, "shipments", "shipment", F.col("shipment_id"), typed, rules, drops)
+    marked = _mark(df, "shipments", "shipment", "shipment_id", typed, rules, drops)
     return Result("shipments", "shipment", marked)
 
 
@@ -417,11 +400,11 @@ def build_marketing_costs(raw: DataFrame) -> Result:
         raw, {"cost_date": N.DATE, "source": N.CHANNEL, "cost_amount": N.AMOUNT, "currency": N.CURRENCY}
     )
     typed = {
-        "cost_date": _v("cost_date"),
-        "source_id": F.col("source__id"),
-        "cost_amount": _v("cost_amount"),
-        "currency": _v("currency"),
-        "has_quality_issue": F.lit(False),
+        "cost_date": "cost_date__v",
+        "source_id": "source__id",
+        "cost_amount": "cost_amount__v",
+        "currency": "currency__v",
+        "has_quality_issue": "false",
     }
-    marked = _mark(df, "marketing_costs", "marketing_cost", F.lit(None), typed, _channel_rules("source"))
+    marked = _mark(df, "marketing_costs", "marketing_cost", "null", typed, _channel_rules("source"))
     return Result("marketing_costs", "marketing_cost", marked)

@@ -15,7 +15,7 @@ from dealmill.operators.dedup import latest_rows
 from dealmill.operators.lookup import ROWS_PER_TASK
 from dealmill.operators.rules import issue_log
 from dealmill.plans import entities as E
-from dealmill.schemas import CORE_TABLES, RAW_TABLES, seed_sources
+from dealmill.schemas import CORE_TABLES, seed_sources
 from dealmill.session import checkpoint_dir, configure
 from dealmill.sources.extracts import read_extracts
 from dealmill.sources.store import TableStore
@@ -95,17 +95,45 @@ def build(
     return builders[table]()
 
 
+class TypedTables(Mapping[str, DataFrame]):
+    """The typed tables of one load as lazy plans over the raw tables, each planned when asked for."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK):
+        self.raw, self.rows_per_task = raw, rows_per_task
+        self.parents = Parents(raw)
+        self.results: dict[str, E.Result] = {}
+
+    def result(self, table: str) -> E.Result:
+        if table not in self.results:
+            self.results[table] = build(table, self.raw, self.parents, self.rows_per_task)
+        return self.results[table]
+
+    @cached_property
+    def issues(self) -> DataFrame:
+        return issue_log([self.result(table).issues for table in LOAD_ORDER])
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in CORE_TABLES:
+            raise KeyError(table)
+        if table == "sources":
+            return seed_sources(self.raw["users"].sparkSession)
+        if table == "data_quality_issues":
+            return self.issues
+        return self.result(table).core
+
+    def __iter__(self):
+        return iter(CORE_TABLES)
+
+    def __len__(self) -> int:
+        return len(CORE_TABLES)
+
+
 def run_transform(
     raw: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """(typed tables, issue log) as lazy plans over the raw tables; nothing runs yet."""
-    parents = Parents(raw)
-    results = {table: build(table, raw, parents, rows_per_task) for table in LOAD_ORDER}
-    core = {"sources": seed_sources(raw["users"].sparkSession)}
-    core.update({table: result.core for table, result in results.items()})
-    issues = issue_log([result.issues for result in results.values()])
-    core["data_quality_issues"] = issues
-    return {table: core[table] for table in CORE_TABLES}, issues
+) -> tuple[TypedTables, DataFrame]:
+    """(typed tables, issue log); nothing runs yet."""
+    tables = TypedTables(raw, rows_per_task)
+    return tables, tables.issues
 
 
 class ConstraintViolation(RuntimeError):
@@ -127,15 +155,15 @@ def run_load(
     """Full refresh of ``warehouse`` from the extracts.
 
     Raw rows are written first, which fixes their ids.  Each entity is then computed once into
-    a work area and read back as typed table and issues.  The new typed tables are published
+    a work area and read back as typed table and issues.  The new tables are published
     together, after the constraints were checked; a failed run leaves the earlier ones.
     """
     configure(spark)
     store = TableStore(spark, warehouse)
-    raw = read_extracts(spark, extracts, **read_options)
-    for table in RAW_TABLES:
-        store.write_raw(table, raw[table])
-    raw = {table: store.raw(table) for table in RAW_TABLES}
+    version = store.begin_version()
+    for table, extract in read_extracts(spark, extracts, **read_options).items():
+        version.write_raw(table, extract)
+    raw = version.raw_tables()
 
     work = store.begin_work(checkpoint_dir(spark))
     parents = Parents(raw)
@@ -144,7 +172,6 @@ def run_load(
         result = build(table, raw, parents)
         staged[table] = result.read_from(work.keep(table, result.marked))
 
-    version = store.begin_version()
     version.write("sources", seed_sources(spark))
     for table, result in staged.items():
         version.write(table, result.core)

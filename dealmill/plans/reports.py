@@ -7,7 +7,7 @@ reports is ``decimal(28,2)``: rounded like the stored amounts, wide enough for t
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +17,7 @@ from dealmill.operators.constraints import count_by_action
 from dealmill.operators.lookup import ROWS_PER_TASK, lookup
 from dealmill.schemas import ACTIONS, CLOSING_STAGES, COMMITTED_STAGES
 
-Tables = dict[str, DataFrame]
+Tables = Mapping[str, DataFrame]
 
 SUM_TYPE = "decimal(28,2)"
 DEFAULT_DELAY_DAYS = 5

@@ -1,4 +1,4 @@
-"""Parquet tables: raw rows, typed tables in published versions, and a work area."""
+"""Parquet tables: raw and typed tables in published versions, and a work area."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealmill.schemas import CORE_SCHEMAS, CORE_TABLES, raw_schema
+from dealmill.schemas import CORE_SCHEMAS, CORE_TABLES, RAW_TABLES, raw_schema
 from dealmill.sources.extracts import path_exists
 
 _PUBLISHED = T.StructType([T.StructField("version", T.StringType())])
@@ -32,15 +32,20 @@ class WorkArea:
 
 
 class Version:
-    """Typed tables of one load, invisible to readers until published."""
+    """Raw and typed tables of one load, invisible to readers until published."""
 
     def __init__(self, store: TableStore, name: str):
         self.store, self.name = store, name
 
+    def write_raw(self, table: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(self.store.path("raw", self.name, table))
+
     def write(self, table: str, df: DataFrame) -> None:
-        schema = CORE_SCHEMAS[table]
-        typed = df.select(*(F.col(f.name).cast(f.dataType) for f in schema))
-        typed.write.mode("overwrite").parquet(self.store.core_path(self.name, table))
+        typed = df.select(*(F.col(f.name).cast(f.dataType) for f in CORE_SCHEMAS[table]))
+        typed.write.mode("overwrite").parquet(self.store.path("core", self.name, table))
+
+    def raw_tables(self) -> dict[str, DataFrame]:
+        return {table: self.store.raw(table, self.name) for table in RAW_TABLES}
 
     def tables(self) -> dict[str, DataFrame]:
         return {table: self.store.core(table, self.name) for table in CORE_TABLES}
@@ -48,50 +53,61 @@ class Version:
     def publish(self) -> None:
         """Make this the version readers see: one small file, written whole or not at all."""
         row = self.store.spark.createDataFrame([(self.name,)], _PUBLISHED)
-        row.coalesce(1).write.mode("append").parquet(self.store.published_path)
+        row.coalesce(1).write.mode("append").parquet(self.store.path("published"))
 
 
 class TableStore:
-    """Raw and typed tables under one root folder."""
+    """Raw and typed tables under one root folder.
+
+    A load replaces all tables at once: it writes a new version next to the one in use and then
+    publishes it, so that readers never meet half a load.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
-        self.published_path = _join(root, "published")
-
-    # raw ------------------------------------------------------------------
-
-    def write_raw(self, table: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(_join(self.root, "raw", table))
-
-    def raw(self, table: str) -> DataFrame:
-        return self.spark.read.schema(raw_schema(table)).parquet(_join(self.root, "raw", table))
-
-    # typed ----------------------------------------------------------------
 
-    def core_path(self, version: str, table: str) -> str:
-        return _join(self.root, "core", version, table)
+    def path(self, *parts: str) -> str:
+        return _join(self.root, *parts)
 
     def begin_version(self) -> Version:
         stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
         return Version(self, f"{stamp}-{uuid.uuid4().hex[:8]}")
 
     def current_version(self) -> str:
-        if not path_exists(self.spark, self.published_path):
+        if not path_exists(self.spark, self.path("published")):
             raise FileNotFoundError(f"no load was published under {self.root}")
-        published = self.spark.read.schema(_PUBLISHED).parquet(self.published_path)
+        published = self.spark.read.schema(_PUBLISHED).parquet(self.path("published"))
         return published.agg(F.max("version")).first()[0]
 
+    def raw(self, table: str, version: str | None = None) -> DataFrame:
+        return self._read("raw", table, raw_schema(table), version)
+
     def core(self, table: str, version: str | None = None) -> DataFrame:
         """Typed table of the published (or a named) version; unknown names are a KeyError."""
-        schema = CORE_SCHEMAS[table]
+        return self._read("core", table, CORE_SCHEMAS[table], version)
+
+    def _read(self, layer: str, table: str, schema: T.StructType, version: str | None) -> DataFrame:
         version = self.current_version() if version is None else version
-        return self.spark.read.schema(schema).parquet(self.core_path(version, table))
+        return self.spark.read.schema(schema).parquet(self.path(layer, version, table))
 
     def tables(self) -> dict[str, DataFrame]:
         """All typed tables of the published version."""
         version = self.current_version()
         return {table: self.core(table, version) for table in CORE_TABLES}
 
+    def drop_superseded(self) -> int:
+        """Delete the tables of all versions older than the published one; returns how many."""
+        current = self.current_version()
+        dropped = set()
+        for layer in ("raw", "core"):
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(layer))
+            fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            for status in fs.listStatus(folder):
+                if status.getPath().getName() < current:
+                    fs.delete(status.getPath(), True)
+                    dropped.add(status.getPath().getName())
+        return len(dropped)
+
     # work -----------------------------------------------------------------
 
     def begin_work(self, shared_folder: str) -> WorkArea:

@@ -372,12 +372,12 @@ def _company_rules(raw: Views):
     companies = [
         Rule(
             "incomplete_company", "flagged",
-            N.is_blank("name") & N.is_blank("inn") & N.is_blank("industry"),
+            " and ".join(N.is_blank(c) for c in ("name", "inn", "industry")),
         )
     ]
     return [
-        apply_rules(raw["companies"], "company", F.col("company_id"), companies),
-        apply_rules(raw["contacts"], "contact", F.col("contact_id"), contacts),
+        apply_rules(raw["companies"], "company", "company_id", companies),
+        apply_rules(raw["contacts"], "contact", "contact_id", contacts),
     ]
 
 
@@ -419,8 +419,8 @@ for _table in load.LOAD_ORDER:
     _register_entity(_table)
 
 
-def _loaded(raw: Views) -> dict[str, DataFrame]:
-    return load.run_transform(raw)[0]
+def _loaded(raw: Views) -> load.TypedTables:
+    return load.TypedTables(raw)
 
 
 @register("issue_log", O.issues_sql(*O.ALL))
