@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealmill.operators.lookup import ROWS_PER_TASK, lookup, replicate
+from dealmill.operators.lookup import LAZY, Spread, lookup, replicate
 from dealmill.operators.rules import issue_columns
 
 
@@ -35,7 +35,7 @@ def dedup_latest(
     entity: str,
     issue_type: str,
     row_id: str = "id",
-    rows_per_task: int = ROWS_PER_TASK,
+    spread: Spread = LAZY,
     counted_in: DataFrame | None = None,
 ) -> Split:
     """Keep the row with the latest ``version`` per key (then the highest ``row_id``).
@@ -65,7 +65,7 @@ def dedup_latest(
     )
     counted = None if counted_in is None else counted_in.select(null_safe.alias("__key"))
     losers = lookup(
-        narrow.drop("__version"), winners, "__key", "__row", "inner", rows_per_task, counted
+        narrow.drop("__version"), winners, "__key", "__row", "inner", spread, counted
     ).where(F.col("__row") != F.col("__winner"))
     details = (
         "concat('replaced row id=', __row, ' (updated_at=', coalesce(__written, 'NULL'), '); kept id=', __winner)"

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealmill.session import is_small
 
-# A key with more rows than this is spread over several tasks.
 ROWS_PER_TASK = 2_000_000
+
 # At most this many keys are spread by hand, which bounds the broadcast list of hot keys;
 # lesser skew is left to the adaptive skew join.
 MAX_HOT_KEYS = 256
@@ -18,6 +21,22 @@ _SKETCH_GROUPS = 256
 _SALT = "__salt"
 
 
+@dataclass(frozen=True)
+class Spread:
+    """How large lookups are laid out.
+
+    A key with more than ``rows_per_task`` rows is cut into parts.  ``keep`` stores a small
+    intermediate table and gives it back (see ``WorkArea``); with it, sizes are known before
+    the large join is planned.  Without it everything stays one lazy plan.
+    """
+
+    rows_per_task: int = ROWS_PER_TASK
+    keep: Callable[[DataFrame], DataFrame] | None = None
+
+
+LAZY = Spread()
+
+
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """(key, splits) of the most frequent keys, at most ``MAX_HOT_KEYS`` rows.
 
@@ -46,7 +65,7 @@ def lookup(
     key: str,
     spread_by: str,
     how: str = "left",
-    rows_per_task: int = ROWS_PER_TASK,
+    spread: Spread = LAZY,
     counted_in: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to the one row of ``parents`` with the same ``key``.
@@ -62,21 +81,21 @@ def lookup(
     if is_small(parents):
         return rows.join(parents, key, how)
 
-    hot = F.broadcast(hot_keys(rows if counted_in is None else counted_in, key, rows_per_task))
+    hot = hot_keys(rows if counted_in is None else counted_in, key, spread.rows_per_task)
+    if spread.keep:
+        hot = spread.keep(hot)
+
+    def with_splits(df: DataFrame) -> DataFrame:
+        if spread.keep and hot.isEmpty():
+            return df.withColumn("__splits", F.lit(1))
+        return df.join(F.broadcast(hot), key, "left").withColumn("__splits", F.coalesce("__splits", F.lit(1)))
+
     part = F.xxhash64(F.col(spread_by))
-    salted_rows = (
-        rows.join(hot, key, "left")
-        .withColumn(
-            _SALT,
-            F.when(F.col(key).isNull(), F.pmod(part, F.lit(1_000_000)))
-            .otherwise(F.pmod(part, F.coalesce("__splits", F.lit(1))))
-            .cast("int"),
-        )
-        .drop("__splits")
-    )
+    salt = F.when(F.col(key).isNull(), F.pmod(part, F.lit(1_000_000))).otherwise(F.pmod(part, F.col("__splits")))
+    salted_rows = with_splits(rows).withColumn(_SALT, salt.cast("int")).drop("__splits")
     salted_parents = (
-        parents.join(hot, key, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1)))
+        with_splits(parents)
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col("__splits") - 1)))
         .drop("__splits")
     )
     return salted_rows.join(salted_parents, [key, _SALT], how).drop(_SALT)

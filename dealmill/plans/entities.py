@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dealmill.functions import normalize as N
 from dealmill.operators.dedup import dedup_latest, distinct_rows
-from dealmill.operators.lookup import ROWS_PER_TASK, replicate
+from dealmill.operators.lookup import LAZY, Spread, replicate
 from dealmill.operators.references import is_broken, mark_canonical, mark_reference, resolved
 from dealmill.operators.rules import (
     Rule,
@@ -153,8 +153,8 @@ def build_companies(raw: DataFrame) -> Result:
     return Result("companies", "company", marked)
 
 
-def build_contacts(raw: DataFrame, companies: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
-    df = mark_reference(raw, "company_id", companies, "company_id", "_company", rows_per_task=rows_per_task)
+def build_contacts(raw: DataFrame, companies: DataFrame, spread: Spread = LAZY) -> Result:
+    df = mark_reference(raw, "company_id", companies, "company_id", "_company", spread=spread)
     df = N.clean(df, {"phone": N.PHONE, "email": N.TEXT, "created_at": N.TIMESTAMP})
     rules = [
         _broken("company_id", "_company", "orphan_company"),
@@ -171,8 +171,8 @@ def build_contacts(raw: DataFrame, companies: DataFrame, rows_per_task: int = RO
     return Result("contacts", "contact", marked)
 
 
-def build_products(raw: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
-    df = mark_canonical(raw, "product_id", "sku", rows_per_task=rows_per_task)
+def build_products(raw: DataFrame, spread: Spread = LAZY) -> Result:
+    df = mark_canonical(raw, "product_id", "sku", spread=spread)
     df = N.clean(df, {"cost_price": N.AMOUNT, "is_active": N.FLAG})
     rules = [
         Rule(
@@ -201,12 +201,12 @@ def build_deals(
     companies: DataFrame,
     contacts: DataFrame,
     stages: DataFrame,
-    rows_per_task: int = ROWS_PER_TASK,
+    spread: Spread = LAZY,
 ) -> Result:
     """``users`` carries ``active`` as a typed flag; the other parents need only their keys."""
     versions = dedup_latest(
         N.clean(raw, {"updated_at": N.TIMESTAMP}), "deal_id", "updated_at__v", "updated_at", "deal",
-        "duplicate_deal", rows_per_task=rows_per_task, counted_in=raw,
+        "duplicate_deal", spread=spread, counted_in=raw,
     )
     df = versions.kept
     for column, parents, key, hit, carry in [
@@ -216,7 +216,7 @@ def build_deals(
         ("contact_id", contacts, "contact_id", "_contact", None),
     ]:
         df = mark_reference(
-            df, column, parents, key, hit, carry, rows_per_task=rows_per_task, counted_in=raw
+            df, column, parents, key, hit, carry, spread=spread, counted_in=raw
         )
     df = N.clean(
         df,
@@ -264,11 +264,11 @@ def build_deals(
 
 
 def build_deal_products(
-    raw: DataFrame, deals: DataFrame, products: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    raw: DataFrame, deals: DataFrame, products: DataFrame, spread: Spread = LAZY
 ) -> Result:
-    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", rows_per_task=rows_per_task)
+    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", spread=spread)
     df = mark_reference(
-        df, "product_id", products, "product_id", "_product", rows_per_task=rows_per_task, counted_in=raw
+        df, "product_id", products, "product_id", "_product", spread=spread, counted_in=raw
     )
     df = N.clean(df, {"quantity": N.AMOUNT, "unit_price": N.AMOUNT, "discount": N.DISCOUNT})
     rules = [
@@ -284,8 +284,8 @@ def build_deal_products(
     return Result("deal_products", "deal_product", marked)
 
 
-def build_payments(raw: DataFrame, deals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
-    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", rows_per_task=rows_per_task)
+def build_payments(raw: DataFrame, deals: DataFrame, spread: Spread = LAZY) -> Result:
+    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", spread=spread)
     df = N.clean(
         df,
         {"payment_date": N.DATE, "amount": N.AMOUNT, "payment_type": PAYMENT_TYPES, "status": PAYMENT_STATUSES},
@@ -305,7 +305,7 @@ def build_payments(raw: DataFrame, deals: DataFrame, rows_per_task: int = ROWS_P
 
 
 def build_stage_history(
-    raw: DataFrame, deals: DataFrame, stages: DataFrame, users: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    raw: DataFrame, deals: DataFrame, stages: DataFrame, users: DataFrame, spread: Spread = LAZY
 ) -> Result:
     """Identical rows are folded, with their count, before any join; the log unfolds them."""
     df = distinct_rows(raw, RAW_COLUMNS["stage_history"]).withColumnRenamed("copies", "_copies")
@@ -315,7 +315,7 @@ def build_stage_history(
         ("new_stage_id", stages, "stage_id", "_new"),
         ("changed_by_id", users, "user_id", "_user"),
     ]:
-        df = mark_reference(df, column, parents, key, hit, rows_per_task=rows_per_task, counted_in=raw)
+        df = mark_reference(df, column, parents, key, hit, spread=spread, counted_in=raw)
     df = N.clean(df, {"changed_at": N.TIMESTAMP})
     old, new = resolved("old_stage_id", "_old"), resolved("new_stage_id", "_new")
     rules = [
@@ -334,11 +334,11 @@ def build_stage_history(
 
 
 def build_activities(
-    raw: DataFrame, deals: DataFrame, users: DataFrame, rows_per_task: int = ROWS_PER_TASK
+    raw: DataFrame, deals: DataFrame, users: DataFrame, spread: Spread = LAZY
 ) -> Result:
-    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", rows_per_task=rows_per_task)
+    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", spread=spread)
     df = mark_reference(
-        df, "responsible_user_id", users, "user_id", "_user", rows_per_task=rows_per_task, counted_in=raw
+        df, "responsible_user_id", users, "user_id", "_user", spread=spread, counted_in=raw
     )
     df = N.clean(
         df,
@@ -356,10 +356,10 @@ def build_activities(
     return Result("activities", "activity", marked)
 
 
-def build_production_orders(raw: DataFrame, deals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
+def build_production_orders(raw: DataFrame, deals: DataFrame, spread: Spread = LAZY) -> Result:
     """``deals`` carries ``created_at`` as a typed instant."""
     df = mark_reference(
-        raw, "deal_id", deals, "deal_id", "_deal", {"created_at": "_deal_created"}, rows_per_task=rows_per_task
+        raw, "deal_id", deals, "deal_id", "_deal", {"created_at": "_deal_created"}, spread=spread
     )
     df = N.clean(
         df,
@@ -381,8 +381,8 @@ def build_production_orders(raw: DataFrame, deals: DataFrame, rows_per_task: int
     return Result("production_orders", "production_order", marked)
 
 
-def build_shipments(raw: DataFrame, deals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> Result:
-    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", rows_per_task=rows_per_task)
+def build_shipments(raw: DataFrame, deals: DataFrame, spread: Spread = LAZY) -> Result:
+    df = mark_reference(raw, "deal_id", deals, "deal_id", "_deal", spread=spread)
     df = N.clean(df, {"planned_date": N.DATE, "actual_date": N.DATE, "status": SHIPMENT_STATUSES})
     rules = [Rule("invalid_shipment_status", "flagged", "status__invalid", "status")]
     typed = _values("planned_date", "actual_date", "status")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dealmill.functions import normalize as N
 from dealmill.operators.constraints import check_constraints, run_summary
 from dealmill.operators.dedup import latest_rows
-from dealmill.operators.lookup import ROWS_PER_TASK
+from dealmill.operators.lookup import LAZY, Spread
 from dealmill.operators.rules import issue_log
 from dealmill.plans import entities as E
 from dealmill.schemas import CORE_TABLES, seed_sources
@@ -73,23 +73,23 @@ LOAD_ORDER = [
 
 
 def build(
-    table: str, raw: Mapping[str, DataFrame], parents: Parents, rows_per_task: int = ROWS_PER_TASK
+    table: str, raw: Mapping[str, DataFrame], parents: Parents, spread: Spread = LAZY
 ) -> E.Result:
     """Typed table and issues of one entity."""
-    rows, p, n = raw[table], parents, rows_per_task
+    rows, p = raw[table], parents
     builders = {
         "users": lambda: E.build_users(rows),
         "companies": lambda: E.build_companies(rows),
-        "contacts": lambda: E.build_contacts(rows, p.companies, n),
-        "products": lambda: E.build_products(rows, n),
+        "contacts": lambda: E.build_contacts(rows, p.companies, spread),
+        "products": lambda: E.build_products(rows, spread),
         "pipeline_stages": lambda: E.build_pipeline_stages(rows),
-        "deals": lambda: E.build_deals(rows, p.users, p.companies, p.contacts, p.stages, n),
-        "deal_products": lambda: E.build_deal_products(rows, p.deals, p.products, n),
-        "payments": lambda: E.build_payments(rows, p.deals, n),
-        "stage_history": lambda: E.build_stage_history(rows, p.deals, p.stages, p.users, n),
-        "activities": lambda: E.build_activities(rows, p.deals, p.users, n),
-        "production_orders": lambda: E.build_production_orders(rows, p.deal_times, n),
-        "shipments": lambda: E.build_shipments(rows, p.deals, n),
+        "deals": lambda: E.build_deals(rows, p.users, p.companies, p.contacts, p.stages, spread),
+        "deal_products": lambda: E.build_deal_products(rows, p.deals, p.products, spread),
+        "payments": lambda: E.build_payments(rows, p.deals, spread),
+        "stage_history": lambda: E.build_stage_history(rows, p.deals, p.stages, p.users, spread),
+        "activities": lambda: E.build_activities(rows, p.deals, p.users, spread),
+        "production_orders": lambda: E.build_production_orders(rows, p.deal_times, spread),
+        "shipments": lambda: E.build_shipments(rows, p.deals, spread),
         "marketing_costs": lambda: E.build_marketing_costs(rows),
     }
     return builders[table]()
@@ -98,14 +98,14 @@ def build(
 class TypedTables(Mapping[str, DataFrame]):
     """The typed tables of one load as lazy plans over the raw tables, each planned when asked for."""
 
-    def __init__(self, raw: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK):
-        self.raw, self.rows_per_task = raw, rows_per_task
+    def __init__(self, raw: Mapping[str, DataFrame], spread: Spread = LAZY):
+        self.raw, self.spread = raw, spread
         self.parents = Parents(raw)
         self.results: dict[str, E.Result] = {}
 
     def result(self, table: str) -> E.Result:
         if table not in self.results:
-            self.results[table] = build(table, self.raw, self.parents, self.rows_per_task)
+            self.results[table] = build(table, self.raw, self.parents, self.spread)
         return self.results[table]
 
     @cached_property
@@ -129,10 +129,10 @@ class TypedTables(Mapping[str, DataFrame]):
 
 
 def run_transform(
-    raw: Mapping[str, DataFrame], rows_per_task: int = ROWS_PER_TASK
+    raw: Mapping[str, DataFrame], spread: Spread = LAZY
 ) -> tuple[TypedTables, DataFrame]:
     """(typed tables, issue log); nothing runs yet."""
-    tables = TypedTables(raw, rows_per_task)
+    tables = TypedTables(raw, spread)
     return tables, tables.issues
 
 
@@ -169,8 +169,8 @@ def run_load(
     parents = Parents(raw)
     staged: dict[str, E.Result] = {}
     for table in LOAD_ORDER:
-        result = build(table, raw, parents)
-        staged[table] = result.read_from(work.keep(table, result.marked))
+        result = build(table, raw, parents, Spread(keep=work.keep))
+        staged[table] = result.read_from(work.keep(result.marked))
 
     version.write("sources", seed_sources(spark))
     for table, result in staged.items():

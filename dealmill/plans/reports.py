@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dealmill.operators.constraints import count_by_action
-from dealmill.operators.lookup import ROWS_PER_TASK, lookup
+from dealmill.operators.lookup import LAZY, Spread, lookup
 from dealmill.schemas import ACTIONS, CLOSING_STAGES, COMMITTED_STAGES
 
 Tables = Mapping[str, DataFrame]
@@ -42,11 +42,11 @@ def _won() -> Column:
 # ---------------------------------------------------------------- shared parts
 
 
-def deal_lines(core: Tables, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def deal_lines(core: Tables, spread: Spread = LAZY) -> DataFrame:
     """Revenue and cost per deal with at least one line."""
     lines = core["deal_products"].select("id", "deal_id", "product_id", "quantity", "unit_price", "discount")
     costs = core["products"].select("product_id", "cost_price")
-    priced = lookup(lines, costs, "product_id", "id", "inner", rows_per_task)
+    priced = lookup(lines, costs, "product_id", "id", "inner", spread)
     return priced.groupBy("deal_id").agg(
         F.sum(F.col("quantity") * F.col("unit_price") - F.col("discount")).alias("revenue"),
         F.sum(F.col("quantity") * F.col("cost_price")).alias("cost"),

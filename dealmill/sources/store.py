@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timezone
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,12 @@ class WorkArea:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
+        self._numbers = count()
 
-    def keep(self, name: str, df: DataFrame) -> DataFrame:
-        path = _join(self.root, name)
-        df.write.mode("overwrite").parquet(path)
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Store ``df`` and give it back as a scan of what was stored."""
+        path = _join(self.root, f"{next(self._numbers):04d}")
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
 

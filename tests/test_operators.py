@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from dealmill.functions import normalize as N
 from dealmill.operators.constraints import check_constraints
 from dealmill.operators.dedup import dedup_exact, dedup_latest
-from dealmill.operators.lookup import hot_keys, lookup, replicate
+from dealmill.operators.lookup import Spread, hot_keys, lookup, replicate
 from dealmill.operators.references import (
     mark_reference,
     quarantine_orphans,
@@ -20,6 +20,7 @@ from dealmill.operators.references import (
     resolve_fk,
 )
 from dealmill.operators.rules import Rule, apply_rules, flag_illegal_transitions
+from dealmill.sources.store import WorkArea
 from dealmill.schemas import CLOSING_STAGES, CONSTRAINTS, OPEN_STAGES
 
 
@@ -52,7 +53,7 @@ def test_hot_keys_are_found(spark):
 def test_lookup_equals_a_plain_join(spark, no_broadcast, how):
     rows = skewed(spark)
     parents = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(30)], "k string, v int")
-    got = lookup(rows, parents, "k", "id", how, rows_per_task=200).select("id", "k", "v")
+    got = lookup(rows, parents, "k", "id", how, Spread(200)).select("id", "k", "v")
     assert bag(got) == bag(rows.join(parents, "k", how).select("id", "k", "v"))
 
 
@@ -60,7 +61,7 @@ def test_lookup_spreads_a_hot_key(spark, no_broadcast):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         parents = spark.createDataFrame([("hot", 1)], "k string, v int")
-        joined = lookup(skewed(spark), parents, "k", "id", "inner", rows_per_task=100)
+        joined = lookup(skewed(spark), parents, "k", "id", "inner", spread=Spread(100))
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
         assert sum(sizes) == 1000 and len(sizes) > 1 and max(sizes) < 1000
     finally:
@@ -77,7 +78,7 @@ def test_dedup_latest(spark, no_broadcast):
     cells = [("2026-06-%02d" % (1 + i % 9)) if i % 4 else ("bad" if i % 8 else None) for i in range(600)]
     data = [(i, "hot" if i % 3 == 0 else f"d{i % 70}", cells[i]) for i in range(600)]
     df = N.clean(spark.createDataFrame(data, "id long, k string, updated_at string"), {"updated_at": N.TIMESTAMP})
-    split = dedup_latest(df, "k", "updated_at__v", "updated_at", "deal", "duplicate_deal", rows_per_task=50)
+    split = dedup_latest(df, "k", "updated_at__v", "updated_at", "deal", "duplicate_deal", spread=Spread(50))
     groups = defaultdict(list)
     for i, k, cell in data:
         readable = cell is not None and cell != "bad"
@@ -110,14 +111,14 @@ def test_references(spark, no_broadcast):
     known = {"hot", "k1", "k2"}
     plain = [(r["id"], r["k"]) for r in rows.collect()]
 
-    out, issues = resolve_fk(rows, "k", parents, "key", "deal", "id", "orphan_company", rows_per_task=100)
+    out, issues = resolve_fk(rows, "k", parents, "key", "deal", "id", "orphan_company", spread=Spread(100))
     assert bag(out.select("id", "k")) == Counter((i, k if k in known else None) for i, k in plain)
     assert bag(issues.select("entity_id", "details")) == Counter(
         (str(i), k) for i, k in plain if k not in known and k is not None and k.strip()
     )
     assert resolve_fk(rows, "k", parents, "key", "deal", "id")[1] is None
 
-    split = quarantine_orphans(rows, "k", parents, "key", "payment", "id", "orphan_deal", rows_per_task=100)
+    split = quarantine_orphans(rows, "k", parents, "key", "payment", "id", "orphan_deal", spread=Spread(100))
     assert bag(split.kept.select("id", "k")) == Counter(p for p in plain if p[1] in known)
     assert bag(split.issues.select("entity_id")) == Counter((str(i),) for i, k in plain if k not in known)
 
@@ -129,10 +130,28 @@ def test_reference_carries_parent_columns(spark, no_broadcast):
     assert bag(got.select("id", "hit", "parent_size")) == {(1, True, 5): 1, (2, False, None): 1, (3, False, None): 1}
 
 
+@pytest.mark.parametrize("limit", ["50000", "-1"])
+def test_kept_tables_give_the_same_references(spark, tmp_path, limit):
+    """Few missing keys are broadcast (50 kB allowed), or everything is shuffled (-1)."""
+    rows = skewed(spark).withColumn("note", F.lit("x" * 100))
+    parents = spark.range(40_000).select(F.expr("if(id = 0, 'hot', 'k' || id)").alias("key"))
+    known = lambda k: k is not None and (k == "hot" or int(k[1:]) > 0)
+    kept_limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    work = WorkArea(spark, str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        marked = mark_reference(rows, "k", parents, "key", "hit", spread=Spread(100, work.keep))
+        salted = "__salt" in marked._jdf.queryExecution().analyzed().toString()
+        assert salted is (limit == "-1")
+        assert bag(marked.select("id", "hit")) == Counter((r["id"], known(r["k"])) for r in rows.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept_limit)
+
+
 def test_canonical(spark, no_broadcast):
     data = [(f"PR{i:03d}", "hot" if i % 3 == 0 else (None if i % 10 == 1 else f"s{i % 45}")) for i in range(300)]
     df = spark.createDataFrame(data, "product_id string, sku string")
-    out, issues = resolve_canonical(df, "product_id", "sku", rows_per_task=20)
+    out, issues = resolve_canonical(df, "product_id", "sku", spread=Spread(20))
     lowest = {}
     for pid, sku in data:
         lowest[sku] = min(lowest.get(sku, pid), pid)
