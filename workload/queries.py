@@ -25,7 +25,7 @@ from dealmill.operators.references import (
 from dealmill.operators.rules import Rule, apply_rules, flag_illegal_transitions
 from dealmill.plans import catalog, load
 from dealmill.plans import reports as R
-from dealmill.session import configure
+from dealmill.session import configure, estimated_bytes
 from dealmill.sources.json_out import to_json_rows
 from workload import oracle as O
 from workload.views import CORE, RAW
@@ -37,6 +37,19 @@ SPARK: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
+# Driver files below this size hold one row group, i.e. one task's worth of work.
+ONE_TASK_BYTES = 64 * 2**20
+
+
+def driver_table(spark: SparkSession, path: str) -> DataFrame:
+    """A driver table; a file too small to be split is dealt out to all cores after the scan."""
+    df = spark.read.parquet(path)
+    size = estimated_bytes(df)
+    if size is not None and 2**20 < size < ONE_TASK_BYTES:
+        return df.repartition(spark.sparkContext.defaultParallelism)
+    return df
+
+
 class Views(dict):
     """CRM tables over one data folder, each analysed when first asked for."""
 
@@ -48,7 +61,7 @@ class Views(dict):
     def __missing__(self, table: str) -> DataFrame:
         for name in DRIVER_TABLES:
             if name not in self.read and f"from {name}" in self.texts[table]:
-                self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+                driver_table(self.spark, f"{self.sf_dir}/{name}.parquet").createOrReplaceTempView(name)
                 self.read.add(name)
         df = self.spark.sql(self.texts[table])
         if self.texts is CORE and table in schemas.CORE_SCHEMAS:
