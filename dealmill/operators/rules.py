@@ -41,14 +41,18 @@ def issue_columns(entity: str, entity_id: str, issue_type: str, action: str, det
 
 
 def issues_of(entity: str, entity_id: str, rules: list[Rule]) -> str:
-    """Array of the issues one row raises, found in the same scan as the row itself."""
+    """Array of the issues one row raises, found in the same scan as the row itself.
+
+    NULL for a row without issues; otherwise one entry per rule, NULL where it did not fire.
+    (Squeezing the NULLs out here would need a lambda, which is not code-generated.)
+    """
     if not rules:
-        return f"cast(array() as array<{ISSUE_SCHEMA.simpleString()}>)"
+        return f"cast(null as array<{ISSUE_SCHEMA.simpleString()}>)"
     structs = (
         f"if({r.when}, struct({', '.join(issue_columns(entity, entity_id, r.issue_type, r.action, r.details))}), null)"
         for r in rules
     )
-    return f"array_compact(array({', '.join(structs)}))"
+    return f"if({' or '.join(r.when for r in rules)}, array({', '.join(structs)}), null)"
 
 
 def has_quality_issue(rules: list[Rule]) -> str:
@@ -58,8 +62,12 @@ def has_quality_issue(rules: list[Rule]) -> str:
 
 
 def explode_issues(df: DataFrame, column: str = "_issues") -> DataFrame:
-    """One row per issue from rows that carry an array of them."""
-    return df.select(F.explode(column).alias("issue")).select("issue.*")
+    """One row per issue from rows that carry an array of them.
+
+    The outer form keeps the optimiser from testing the array ahead of the explosion, which would
+    evaluate every rule a second time.
+    """
+    return df.select(F.explode_outer(column).alias("issue")).where("issue is not null").select("issue.*")
 
 
 def apply_rules(
