@@ -6,6 +6,7 @@ the driver tables whole and return a lazy DataFrame.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,8 @@ from dealmill.operators.references import (
 from dealmill.operators.rules import Rule, apply_rules, flag_illegal_transitions
 from dealmill.plans import catalog, load
 from dealmill.plans import reports as R
-from dealmill.session import configure, estimated_bytes
+from dealmill.session import checkpoint_dir, configure, estimated_bytes
+from dealmill.sources.extracts import read_extracts
 from dealmill.sources.json_out import to_json_rows
 from workload import oracle as O
 from workload.views import CORE, RAW
@@ -244,6 +246,33 @@ def _(raw: Views) -> DataFrame:
     return counted("deals", "currency", N.CURRENCY).unionByName(counted("activities", "direction", N.TEXT))
 
 
+# ---------------------------------------------------------------- extracts
+
+
+def _cells_sql(table: str) -> str:
+    filled = " + ".join(f"count(nullif({c}, ''))" for c in schemas.RAW_COLUMNS[table])
+    return f"select '{table}' as \"table\", count(*) as rows, {filled} as filled_cells from raw_{table}"
+
+
+# Whole raw tables written as text extracts and read back: rows, and cells that hold something.
+@register("s1_csv_roundtrip_counts", O.raw() + " " + " union all ".join(_cells_sql(t) for t in schemas.RAW_TABLES))
+def _(raw: Views) -> DataFrame:
+    folder = f"{checkpoint_dir(raw.spark)}/extracts-{uuid.uuid4().hex}"
+    for table in schemas.RAW_TABLES:
+        raw[table].select(*schemas.RAW_COLUMNS[table]).write.csv(
+            f"{folder}/{table}", header=True, quote='"', escape='"', nullValue="", emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    extracts = read_extracts(raw.spark, folder, "{table}")
+    counts = []
+    for table, df in extracts.items():
+        filled = " + ".join(f"count({c})" for c in schemas.RAW_COLUMNS[table])
+        counts.append(df.selectExpr("count(*) as rows", f"{filled} as filled_cells").select(
+            F.lit(table).alias("table"), "rows", "filled_cells"
+        ))
+    return K.union_all(counts)
+
+
 # ---------------------------------------------------------------- duplicates, references, rules
 
 _VERSIONED = f"""{O.raw('deals')},
