@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # HotSpot never compiles methods above 8000 bytes; let such stages run as separate projections.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Split a skewed join partition even where a later step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
