@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so that they can be applied to a session someone else made.
@@ -26,10 +24,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; a temporary one only where none is set (tests)."""
+    """Shared folder named by the cluster; where none is set (tests), a folder of the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="run-")
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
