@@ -1,4 +1,4 @@
-"""Training-data pipeline over ``documents``: near-duplicates, secrets, mix and tokens."""
+"""Training-data pipeline over ``documents``: quality, near-duplicates, secrets, mix and tokens."""
 
 from __future__ import annotations
 
@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealmill.llm import mixing, near_dup, secrets
+from dealmill.llm import mixing, near_dup, quality_model, secrets
 from dealmill.llm.bpe import Tokenizer
 from dealmill.llm.common import table, whole_text
 from dealmill.llm.queries import TOKENIZER
 from dealmill.session import checkpoint_dir
 
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, trained on the stage's own input, accepts."""
+    return quality_model.keep_good(docs)
+
+
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates: the one with the smallest id."""
     return near_dup.one_per_group(docs)
@@ -38,6 +43,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", keep_good),
     ("near duplicates", deduplicate),
     ("secrets", redact_secrets),
     ("mix", mix_sources),

@@ -30,6 +30,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hash_line(sample: int, rows: float) -> int:
+    """Value that about ``sample`` of ``rows`` 64-bit hashes do not exceed."""
+    return min(2**63 - 1, int((2.0 * min(1.0, sample / max(1.0, rows)) - 1.0) * 2.0**63))
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what one Arrow batch holds, so that very long texts do not pile up in a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")

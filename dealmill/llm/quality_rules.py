@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from dealmill.llm.common import BLANK, WORD, salted_lookup, whole_text
 
-SPREADS = 4.0
+SPREADS = 6.0
 # Rate to (least step above the median, is a low value bad too).  Steps are in the unit of the rate.
 RATES = {
-    "symbol_rate": (0.05, False),
-    "upper_rate": (0.10, False),
-    "mark_rate": (0.05, False),
-    "dup_line_rate": (0.15, False),
-    "repeat_rate": (0.10, False),
-    "word_length": (1.5, True),
+    "symbol_rate": (0.08, False),
+    "upper_rate": (0.20, False),
+    "mark_rate": (0.08, False),
+    "dup_line_rate": (0.25, False),
+    "repeat_rate": (0.25, False),
+    "word_length": (2.5, True),
 }
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SALTS = 32

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_rules, secrets
+from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_model, quality_rules, repeats, secrets, toxicity, url_filter
 from dealmill.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -38,17 +38,40 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.classify(table(spark, sf_dir, "documents"))
+
+
+def op7_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").where(~held_out)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), labels)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_source_mix": op2_source_mix,
     "op3_fingerprints": op3_fingerprints,
     "op4_quality_rules": op4_quality_rules,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_quality_model": op6_quality_model,
+    "op7_repeated_strings": op7_repeated_strings,
     "op8_near_duplicates": op8_near_duplicates,
+    "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {}
