@@ -37,7 +37,9 @@ def simhash(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     """
     words = texts.select(*keys, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"))
     terms = words.select(*keys, F.posexplode_outer(_hashes("words")).alias("i", "h0"))
-    terms = terms.withColumn("piece", F.floor(F.coalesce("i", F.lit(0)) / _PIECE)).withColumn("h1", F.xxhash64("h0", F.lit(1)))
+    terms = terms.withColumn("piece", F.floor(F.coalesce("i", F.lit(0)) / _PIECE)).withColumn(
+        "h1", F.when(F.col("h0").isNotNull(), F.xxhash64("h0", F.lit(1)))
+    )
     lanes = [
         F.sum(F.shiftrightunsigned(h, j).bitwiseAND(F.lit(_LANE))).alias(f"{h}_{j}") for h in ("h0", "h1") for j in range(16)
     ]

@@ -136,33 +136,46 @@ def _key(text: Column) -> tuple[Column, Column]:
 
 
 def _emit_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per text and hash, with all its places there."""
     for batch in batches:
-        found = [anchors(t.encode()) for t in batch["t"]]
-        counts = [len(p) for p, _ in found]
-        yield pd.DataFrame({
-            "h": np.concatenate([v for _, v in found]).view(np.int64), "at": np.concatenate([p for p, _ in found]),
-            "k1": np.repeat(batch["k1"].to_numpy(), counts), "k2": np.repeat(batch["k2"].to_numpy(), counts),
-        })
+        rows = []
+        for k1, k2, t in zip(batch["k1"], batch["k2"], batch["t"], strict=True):
+            places, values = anchors(t.encode())
+            order = np.argsort(values, kind="stable")
+            values, places = values[order], places[order]
+            cuts = np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else []
+            rows.extend((int(v), k1, k2, at) for v, at in zip(values[cuts].view(np.int64), np.split(places, cuts[1:]), strict=True) if len(at))
+        yield pd.DataFrame(rows, columns=["h", "k1", "k2", "at"])
 
 
 def _emit_suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Suffixes to sort.  One that a text holds twice with all that matters before and after it stands for all
+    its places, and what it covers (``end`` is set) needs no sorting: periodic texts stay small."""
     whole, last = LENGTH - GRAM, None
     for batch in batches:
         rows = []
-        for k1, k2, t, places in zip(batch["k1"], batch["k2"], batch["t"], batch["places"], strict=True):
+        for k1, k2, t, groups in zip(batch["k1"], batch["k2"], batch["t"], batch["places"], strict=True):
             if (k1, k2) == last:
                 continue  # a copy of the text before
             last, data = (k1, k2), t.encode()
-            for place in places:
-                at, hot = place["at"], place["hot"]
-                cuts = [whole * i // HOT_RANGES for i in range(HOT_RANGES)] + [whole + 1] if hot else [0, whole + 1]
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    start, end = at - a, at - (b - 1) + LENGTH  # what strings starting at - b + 1 ... at - a share
-                    if start >= 0 and end <= len(data):
-                        group = xxhash.xxh64_intdigest(data[start:end], seed=a) - (1 << 63)
-                        left = data[max(0, at - b + 1) : start][::-1]
-                        rows.append((group, data[start : start + LENGTH], left, k1, k2, start))
-        yield pd.DataFrame(rows, columns=["g", "base", "before", "k1", "k2", "at"])
+            seen: dict[tuple, list[int]] = {}
+            for places in groups:
+                cuts = [whole * i // HOT_RANGES for i in range(HOT_RANGES)] + [whole + 1] if places["hot"] else [0, whole + 1]
+                for at in map(int, places["at"]):
+                    for a, b in zip(cuts, cuts[1:], strict=False):
+                        start, end = at - a, at - (b - 1) + LENGTH  # what strings starting at - b + 1 ... at - a share
+                        if start >= 0 and end <= len(data):
+                            left = data[max(0, at - b + 1) : start][::-1]
+                            key = (xxhash.xxh64_intdigest(data[start:end], seed=a) - (1 << 63), data[start : start + LENGTH], left)
+                            seen.setdefault(key, []).append(start)
+            for (group, base, left), starts in seen.items():
+                rows.append((group, base, left, k1, k2, starts[0], None))
+                if len(starts) > 1 and len(base) + len(left) >= LENGTH:
+                    begin = np.sort(np.array(starts)) - len(left)
+                    split = np.flatnonzero(begin[1:] > begin[:-1] + len(base) + len(left)) + 1
+                    rows.extend((group, None, None, k1, k2, int(x[0]), int(x[-1]) + len(base) + len(left)) for x in np.split(begin, split))
+        frame = pd.DataFrame(rows, columns=["g", "base", "before", "k1", "k2", "at", "end"])
+        yield frame.astype({"end": "Int64"})
 
 
 def _induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -177,6 +190,10 @@ def _induce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     held: list[pd.DataFrame] = []
     for batch in batches:
+        done = batch["base"].isna()
+        if done.any():
+            yield batch.loc[done, ["k1", "k2", "at", "end"]].rename(columns={"at": "first"})
+            batch = batch[~done]
         if not len(batch):
             continue
         held.append(batch)
@@ -208,13 +225,16 @@ def repeated_spans(df: DataFrame, text: str = "text") -> DataFrame:
     """(k1, k2, spans): maximal runs of repeated bytes, by the two hashes of a text; texts without any are left out."""
     docs = df.select(*_key(whole_text(text)), whole_text(text).alias("t"))
     long = docs.where(F.octet_length("t") >= LENGTH)
-    found = long.mapInPandas(_emit_anchors, "h long, at long, k1 long, k2 long")
+    found = long.mapInPandas(_emit_anchors, "h long, k1 long, k2 long, at array<long>")
     same = Window.partitionBy("h")
-    place = F.struct("k1", "k2", "at")
+    place = F.struct("k1", "k2")
     counted = found.select("*", F.min(place).over(same).alias("a"), F.max(place).over(same).alias("b"), F.count(F.lit(1)).over(same).alias("n"))
-    twice = counted.where("a <> b").groupBy("k1", "k2").agg(F.collect_set(F.struct("at", (F.col("n") > HOT).alias("hot"))).alias("places"))
+    # Several texts have the hash, or one has it at several places; copies of a text give the same rows.
+    twice = counted.where("a <> b or size(at) > 1").groupBy("k1", "k2").agg(
+        F.collect_set(F.struct("h", "at", (F.col("n") > HOT).alias("hot"))).alias("places")
+    )
     suffixes = long.join(twice, ["k1", "k2"]).select("k1", "k2", "t", "places").mapInPandas(
-        _emit_suffixes, "g long, base binary, before binary, k1 long, k2 long, at long"
+        _emit_suffixes, "g long, base binary, before binary, k1 long, k2 long, at long, end long"
     )
     ordered = suffixes.repartition("g").sortWithinPartitions("g", "base")
     spans = ordered.mapInPandas(_induce, "k1 long, k2 long, first long, end long")
