@@ -31,7 +31,7 @@ from dealmill.llm.common import hash_line, small_batches
 
 TRAIN_DOCS = 6000
 LANDMARKS = 64
-SPAN, DECAY, SHARP = 6, 0.75, 6.0
+SPAN, DECAY, SHARP = 7, 0.8, 6.0
 LONGEST = 24
 REMEMBERED = 200_000
 _PIECE = 20_000
