@@ -335,13 +335,15 @@ def test_toxicity(spark, empty):
         rows.append((i, " ".join(words)))
         labels.append((i, int(toxic)))
     clean = " ".join(word() for _ in range(40))
-    rows += [(1000, clean + " you are p-a-thetic"), (1001, clean + " WORTHXLESS!! " + clean), (1002, clean), (1003, None), (1004, ""), (1005, "d i s g u s t i n g man")]
+    rows += [(1000, clean + " you are p-a-thetic"), (1001, clean + " WRTHLESS!! " + clean), (1002, clean), (1003, None), (1004, ""), (1005, "d i s g u s t i n g man"), (1006, clean + " worthxless")]
     df = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, score double")
     train = spark.createDataFrame([x for x in labels if zlib.crc32(str(x[0]).encode()) % 5] + [(None, 1), (3, None)], "doc_id long, toxic int")
     got = {r["doc_id"]: r["score"] for r in toxicity.score(df, train).collect()}
     held = [(i, y) for i, y in labels if zlib.crc32(str(i).encode()) % 5 == 0]
     assert np.mean([(got[i] >= 0.5) == y for i, y in held]) > 0.95
     assert [got[i] >= 0.5 for i in range(1000, 1006)] == [True, True, False, False, False, True]
+    # A strange letter within a word costs more, but lifts the text above all clean ones.
+    assert got[1006] > max(got[i] for i, y in labels if not y)
     assert toxicity.score(empty, train).collect() == []
     assert {r["score"] < 1e-9 for r in toxicity.score(df, train.limit(0)).collect()} == {True}
 
