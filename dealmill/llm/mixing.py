@@ -26,7 +26,7 @@ WEIGHTS = [1, 2, 3]
 MAX_REPEATS = 3
 # Schedules by place in the order of sources, repeating: relative weight at the start and at the end.
 SCHEDULES = [(1.5, 0.5), (1.0, 1.0), (0.5, 1.5)]
-ROWS_PER_PART = 20_000
+ROWS_PER_PART = 5_000
 
 
 def _by_rank(values: list, rank: str):
