@@ -123,33 +123,36 @@ def _chain(df: DataFrame) -> DataFrame:
 
 def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of its edited text (second half from the next document), and likenesses."""
-    docs = df.select(F.col(doc_id).alias("id"), whole_text(text).alias("t")).withColumn("h", F.xxhash64("t"))
-    docs = docs.withColumn("n_chars", F.char_length("t").cast("long"))
-    chain = _chain(docs)
+    docs = df.select(F.col(doc_id).alias("id"), whole_text(text).alias("t"))
+    # (k, h) stands for a document in joins; k is never null.
+    docs = docs.withColumn("k", F.xxhash64("id")).withColumn("h", F.xxhash64("t"))
+    length = F.char_length("t").cast("long").alias("n_chars")
+    chain = _chain(docs.select("id", "h", length))
     # What each document gives to the one before it is cut before it moves.
     wants = chain.select(
-        F.col("next_id").alias("w_id"), F.col("next_h").alias("w_h"), F.floor(F.col("n_chars") / 2).cast("int").alias("want"),
-        F.col("id").alias("to_id"), F.col("h").alias("to_h"),
+        F.xxhash64("next_id").alias("w_id"), F.col("next_h").alias("w_h"), F.floor(F.col("n_chars") / 2).cast("int").alias("want"),
+        F.xxhash64("id").alias("to_id"), F.col("h").alias("to_h"),
     )
-    gives = docs.join(wants, docs["id"].eqNullSafe(wants["w_id"]) & (docs["h"] == wants["w_h"]))
+    gives = docs.join(wants, (docs["k"] == wants["w_id"]) & (docs["h"] == wants["w_h"]))
     gives = gives.select("to_id", "to_h", F.substring(F.col("t"), F.lit(1), F.col("want")).alias("given")).dropDuplicates(["to_id", "to_h"])
-    both = docs.join(gives, docs["id"].eqNullSafe(gives["to_id"]) & (docs["h"] == gives["to_h"]))
+    # Both joins move the same columns of the documents by the same keys, so Spark moves them once.
+    both = docs.join(gives, (docs["k"] == gives["to_id"]) & (docs["h"] == gives["to_h"])).select("k", "id", "h", "t", "given", length)
     head = F.substring(F.col("t"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
-    both = both.select("id", "h", "n_chars", "t", F.concat(head, "given").alias("edited")).withColumn("row", F.monotonically_increasing_id())
+    both = both.select("k", "id", "h", "n_chars", "t", F.concat(head, "given").alias("edited")).withColumn("row", F.monotonically_increasing_id())
     both = both.select(
-        "row", "id", "h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "k", "row", "id", "h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("t").alias("x")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("x")))).alias("e"),
-    ).select("row", "id", "h", "n_chars", "edited_sha256", "e.which", "e.x")
-    # The rows lie by (id, h) already: neither grouping moves them again.
-    prints = simhash(both, ["id", "h", "row", "n_chars", "edited_sha256", "which"], "x")
-    prints = prints.groupBy("id", "h", "row", "n_chars", "edited_sha256").agg(
+    ).select("k", "row", "id", "h", "n_chars", "edited_sha256", "e.which", "e.x")
+    # The rows lie by (k, h) already: neither grouping moves them again.
+    prints = simhash(both, ["k", "h", "row", "id", "n_chars", "edited_sha256", "which"], "x")
+    prints = prints.groupBy("k", "h", "row", "id", "n_chars", "edited_sha256").agg(
         F.max(F.when(F.col("which") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("which") == 1, F.col("fp"))).alias("edited_fp")
     )
     prints = stored(prints)
-    links = chain.select(F.col("id").alias("l_id"), F.col("h").alias("l_h"), "next_id", "next_h")
-    nexts = prints.select(F.col("id").alias("x_id"), F.col("h").alias("x_h"), F.col("fp").alias("next_fp")).dropDuplicates(["x_id", "x_h"])
-    done = prints.join(links, prints["id"].eqNullSafe(links["l_id"]) & (prints["h"] == links["l_h"])).join(
-        nexts, F.col("next_id").eqNullSafe(F.col("x_id")) & (F.col("next_h") == F.col("x_h"))
+    links = chain.select(F.xxhash64("id").alias("l_id"), F.col("h").alias("l_h"), F.xxhash64("next_id").alias("next_id"), "next_h")
+    nexts = prints.select(F.col("k").alias("x_id"), F.col("h").alias("x_h"), F.col("fp").alias("next_fp")).dropDuplicates(["x_id", "x_h"])
+    done = prints.join(links, (prints["k"] == links["l_id"]) & (prints["h"] == links["l_h"])).join(
+        nexts, (F.col("next_id") == F.col("x_id")) & (F.col("next_h") == F.col("x_h"))
     )
     return done.select(
         F.col("id").alias("doc_id"), "n_chars", "edited_sha256", as_text(F.col("fp")).alias("fingerprint"),
