@@ -136,20 +136,20 @@ def edited_fingerprints(df: DataFrame, doc_id: str = "doc_id", text: str = "text
     gives = docs.join(wants, (docs["k"] == wants["w_id"]) & (docs["h"] == wants["w_h"]))
     gives = gives.select("to_id", "to_h", F.substring(F.col("t"), F.lit(1), F.col("want")).alias("given")).dropDuplicates(["to_id", "to_h"])
     # Both joins move the same columns of the documents by the same keys, so Spark moves them once.
-    both = docs.join(gives, (docs["k"] == gives["to_id"]) & (docs["h"] == gives["to_h"])).select("k", "id", "h", "t", "given", length)
+    both = docs.join(gives, (docs["k"] == gives["to_id"]) & (docs["h"] == gives["to_h"])).select("k", "h", "t", "given", length)
     head = F.substring(F.col("t"), F.lit(1), (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
-    both = both.select("k", "id", "h", "n_chars", "t", F.concat(head, "given").alias("edited")).withColumn("row", F.monotonically_increasing_id())
+    both = both.select("k", "h", "n_chars", "t", F.concat(head, "given").alias("edited")).withColumn("row", F.monotonically_increasing_id())
     both = both.select(
-        "k", "row", "id", "h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "k", "row", "h", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("t").alias("x")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("x")))).alias("e"),
-    ).select("k", "row", "id", "h", "n_chars", "edited_sha256", "e.which", "e.x")
+    ).select("k", "row", "h", "n_chars", "edited_sha256", "e.which", "e.x")
     # The rows lie by (k, h) already: neither grouping moves them again.
-    prints = simhash(both, ["k", "h", "row", "id", "n_chars", "edited_sha256", "which"], "x")
-    prints = prints.groupBy("k", "h", "row", "id", "n_chars", "edited_sha256").agg(
+    prints = simhash(both, ["k", "h", "row", "n_chars", "edited_sha256", "which"], "x")
+    prints = prints.groupBy("k", "h", "row", "n_chars", "edited_sha256").agg(
         F.max(F.when(F.col("which") == 0, F.col("fp"))).alias("fp"), F.max(F.when(F.col("which") == 1, F.col("fp"))).alias("edited_fp")
     )
     prints = stored(prints)
-    links = chain.select(F.xxhash64("id").alias("l_id"), F.col("h").alias("l_h"), F.xxhash64("next_id").alias("next_id"), "next_h")
+    links = chain.select("id", F.xxhash64("id").alias("l_id"), F.col("h").alias("l_h"), F.xxhash64("next_id").alias("next_id"), "next_h")
     nexts = prints.select(F.col("k").alias("x_id"), F.col("h").alias("x_h"), F.col("fp").alias("next_fp")).dropDuplicates(["x_id", "x_h"])
     done = prints.join(links, (prints["k"] == links["l_id"]) & (prints["h"] == links["l_h"])).join(
         nexts, (F.col("next_id") == F.col("x_id")) & (F.col("next_h") == F.col("x_h"))
