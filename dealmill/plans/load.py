@@ -179,7 +179,7 @@ def run_load(
 
     core = version.tables()
     if strict:
-        broken = check_constraints(core).where(F.col("violations") > 0).limit(20).collect()
+        broken = check_constraints(core).where(F.col("violations") > 0).collect()
         if broken:
             raise ConstraintViolation("; ".join(f"{r.table}.{r.constraint}: {r.violations}" for r in broken))
     version.publish()
