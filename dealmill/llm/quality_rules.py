@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealmill.llm.common import BLANK, WORD, salted_lookup, whole_text
+from dealmill.llm.common import BLANK, WORD, salted_lookup, stored, whole_text
 
 SPREADS = 6.0
 # Rate to (least step above the median, is a low value bad too).  Steps are in the unit of the rate.
@@ -107,7 +107,7 @@ def thresholds(measured: DataFrame, spreads: float = SPREADS) -> DataFrame:
 
 def judge(df: DataFrame, spreads: float = SPREADS, **columns: str) -> DataFrame:
     """doc_id, counts, base_failed and kept of every row."""
-    measured = measure(df, **columns)
+    measured = stored(measure(df, **columns))  # read for the thresholds and for the verdict
     bounded = salted_lookup(measured, thresholds(measured, spreads), ["lang", "source"], "doc_id", _SALTS)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     inside = F.lit(True)
