@@ -11,6 +11,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dealmill.functions import normalize as N
 from dealmill.operators.dedup import dedup_latest, distinct_rows
@@ -99,16 +100,29 @@ def _mark(
         for name, r in zip(names[len(drops):], rules)
     ]
     typed = {"has_quality_issue": has_quality_issue(checked), **typed}
-    columns = [
-        f"cast({typed.get(f.name, f.name)} as {f.dataType.simpleString()}) as {f.name}"
-        for f in CORE_SCHEMAS[table]
-    ]
+    columns = [_typed(f, typed.get(f.name, f.name), keep, entity, entity_id) for f in CORE_SCHEMAS[table]]
     columns += [f"{keep} as _keep", f"{issues_of(entity, entity_id, found + checked)} as _issues"]
     if "_copies" in df.columns:
         columns.append("_copies")
     return df.selectExpr(*columns)
 
 
+def _typed(field: T.StructField, value: str, keep: str, entity: str, entity_id: str) -> str:
+    """The value in its column's type.
+
+    Only kept rows are typed, so that no cell of a dropped row stops the load.  A number of a kept row
+    that does not fit its column is an error that names the row.
+    """
+    kind = field.dataType.simpleString()
+    if isinstance(field.dataType, T.StringType) or field.name == "has_quality_issue":
+        return f"cast({value} as {kind}) as {field.name}"
+    if not isinstance(field.dataType, T.NumericType):
+        return f"cast(if({keep}, {value}, null) as {kind}) as {field.name}"
+    fits = f"try_cast({value} as {kind})"
+    row = f"concat('{entity} ', coalesce({entity_id}, 'null'), ': {field.name} does not fit {kind}: ', cast({value} as string))"
+    return f"if({keep}, if({value} is not null and {fits} is null, raise_error({row}), {fits}), null) as {field.name}"
+
+
 def _values(*columns: str) -> dict[str, str]:
     """The cleaned value of each column."""
     return {column: f"{column}__v" for column in columns}
@@ -263,6 +277,15 @@ def build_deals(
 # ---------------------------------------------------------------- rows under a deal
 
 
+# Exact up to eight whole digits, to six decimals beyond; a product too large for any decimal has only a sign.
+_ABOVE_LINE = (
+    "coalesce(try_cast(discount__v as decimal(38,20)) > "
+    "try_cast(quantity__v as decimal(18,10)) * try_cast(unit_price__v as decimal(18,10)), "
+    "discount__v > try_multiply(quantity__v, unit_price__v), "
+    "discount__v is not null and (quantity__v < 0) <> (unit_price__v < 0))"
+)
+
+
 def build_deal_products(
     raw: DataFrame, deals: DataFrame, products: DataFrame, spread: Spread = LAZY
 ) -> Result:
@@ -273,7 +296,7 @@ def build_deal_products(
     df = N.clean(df, {"quantity": N.AMOUNT, "unit_price": N.AMOUNT, "discount": N.DISCOUNT})
     rules = [
         Rule(
-            "discount_exceeds_line", "flagged", "discount__v > quantity__v * unit_price__v",
+            "discount_exceeds_line", "flagged", _ABOVE_LINE,
             "concat('discount ', discount, ' > ', quantity, ' x ', unit_price)",
         )
     ]

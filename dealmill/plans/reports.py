@@ -112,16 +112,15 @@ def funnel(core: Tables) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("deals"), _sum_or_zero(F.col("amount")).alias("amount"))
     )
     stages = core["pipeline_stages"].select("sort_order", "stage_id", "stage_name", "is_success")
-    with_stage = stages.join(per_stage, "stage_id", "left").select(
-        "sort_order", "stage_id", "stage_name", "is_success",
+    # A full join keeps the group without a stage; it is the only one that may lack a stage row.
+    both = stages.withColumn("known", F.lit(True)).join(per_stage, "stage_id", "full")
+    both = both.where(F.col("known").isNotNull() | F.col("stage_id").isNull())
+    return both.select(
+        F.when(F.col("known"), F.col("sort_order")).otherwise(F.lit(NO_STAGE_ORDER)).alias("sort_order"), "stage_id",
+        F.when(F.col("known"), F.col("stage_name")).otherwise(F.lit(NO_STAGE)).alias("stage_name"), "is_success",
         F.coalesce("deals", F.lit(0)).cast("long").alias("deals"),
         _money(F.coalesce("amount", F.lit(0))).alias("amount"),
-    )
-    without = per_stage.where(F.col("stage_id").isNull()).select(
-        F.lit(NO_STAGE_ORDER).alias("sort_order"), "stage_id", F.lit(NO_STAGE).alias("stage_name"),
-        F.lit(None).cast("boolean").alias("is_success"), "deals", "amount",
-    )
-    return with_stage.unionByName(without).orderBy(F.col("sort_order").asc_nulls_last(), "stage_id")
+    ).orderBy(F.col("sort_order").asc_nulls_last(), "stage_id")
 
 
 def funnel_totals(core: Tables) -> DataFrame:

@@ -23,6 +23,10 @@ _CSV = {
 }
 
 
+# Raw text of a row that is not as wide as its header.
+_UNEVEN = "__uneven"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Does any file match ``path`` (a file, a folder or a glob) on its file system?"""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,6 +50,8 @@ def read_extract(
     files per task (``multi_line=True``); without any, large files are split by line
     (``False``).  ``"auto"`` looks for them first, at the price of one pass over the text.
 
+    A row with fewer cells than the header is filled up with NULL; one with more is an error when it is read.
+
     ``id`` follows the order of rows within a file.  It depends on how the input is split, so
     write the table before relying on it.
     """
@@ -60,7 +66,14 @@ def read_extract(
     if unknown:
         raise ValueError(f"extract {path} has columns unknown to table {table}: {sorted(unknown)}")
     schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    cells = reader.schema(schema).option("enforceSchema", "false").csv(path)
+    # Without pruning every row is split whole, and one that is not as wide as the header shows in _UNEVEN.
+    reader = reader.schema(schema.add(_UNEVEN, "string")).option("columnNameOfCorruptRecord", _UNEVEN)
+    cells = reader.option("enforceSchema", "false").option("columnPruning", "false").csv(path)
+    separators = F.length(F.regexp_replace(F.regexp_replace(_UNEVEN, r'"[^"]*"', ""), "[^,]", ""))
+    too_wide = F.raise_error(F.concat(F.lit(f"{path}, table {table}: row wider than the header: "), F.col(_UNEVEN)))
+    # The first column takes part because a scan of _UNEVEN alone is not allowed.
+    fits = F.when(separators >= len(header), too_wide.cast("boolean")).otherwise(F.length(F.coalesce(header[0], F.lit(""))) >= 0)
+    cells = cells.where(F.col(_UNEVEN).isNull() | fits)
     return cells.select(
         F.monotonically_increasing_id().alias("id"),
         *(

@@ -33,6 +33,11 @@ class WorkArea:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Delete all that was kept here."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
 
 class Version:
     """Raw and typed tables of one load, invisible to readers until published."""

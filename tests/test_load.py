@@ -1,5 +1,6 @@
 """The hand-made extract end to end: counts, issues, reports."""
 
+import os
 from datetime import date
 from decimal import Decimal
 
@@ -10,6 +11,7 @@ from dealmill.operators.constraints import check_constraints, reconcile_counts,
 from dealmill.plans import catalog
 from dealmill.plans import reports as R
 from dealmill.plans.load import ConstraintViolation, run_load, run_transform
+from dealmill.session import checkpoint_dir
 from dealmill.sources.extracts import read_extracts
 from dealmill.sources.store import TableStore
 from tests.crm import ROWS, write_extracts
@@ -199,6 +201,37 @@ def test_broken_load_is_not_published(spark, tmp_path):
     assert store.current_version() == before and store.core("payments").count() == 5
 
 
+def work_folders(spark):
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    return sorted(f for f in (os.listdir(folder) if os.path.isdir(folder) else []) if f.startswith("load-"))
+
+
+def with_rows(folder, **more):
+    return write_extracts(folder, rows={t: [*cells, *more.get(t, [])] for t, cells in ROWS.items()})
+
+
+def test_oversized_numbers_of_dropped_rows_do_not_stop_the_load(spark, tmp_path):
+    before = work_folders(spark)
+    line = [*ROWS["deal_products"][0]]
+    line[0], line[2:5] = "D9999", ["100000000000000000000", "100000000000000000000", "1"]
+    extracts = with_rows(
+        tmp_path, payments=[["PAY007", "D9998", "2026-06-01", "9999999999999", "full", "paid"]], deal_products=[line]
+    )
+    load = run_load(spark, extracts, str(tmp_path / "warehouse"))
+    assert load.core["payments"].count() == 5 and load.core["deal_products"].count() == 8
+    log = {(r["entity_id"], r["issue_type"]) for r in load.core["data_quality_issues"].collect()}
+    assert ("PAY007", "orphan_deal") in log and ("D9999", "orphan_deal") in log
+    assert work_folders(spark) == before
+
+
+def test_an_oversized_number_of_a_kept_row_is_named(spark, tmp_path):
+    before = work_folders(spark)
+    extracts = with_rows(tmp_path, payments=[["PAY007", "D1001", "2026-06-01", "9999999999999", "full", "paid"]])
+    with pytest.raises(Exception, match="payment PAY007: amount does not fit"):
+        run_load(spark, extracts, str(tmp_path / "warehouse"))
+    assert work_folders(spark) == before
+
+
 def test_lazy_transform_agrees_with_the_stored_load(loaded, tmp_path):
     spark, _, load = loaded
     core, issues = run_transform(load.raw)

@@ -51,6 +51,18 @@ def test_unknown_columns_are_an_error(spark, tmp_path):
         read_extract(spark, "users", path)
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_rows_wider_than_the_header_are_an_error(spark, tmp_path, multi_line):
+    path = write(tmp_path / "short.csv", 'source,campaign\nads\n"a,""b",2024-01\n')
+    df = read_extract(spark, "marketing_costs", path, multi_line)
+    assert df.count() == 2
+    assert [(r["source"], r["campaign"]) for r in df.collect()] == [("ads", None), ('a,"b', "2024-01")]
+    for row in ("ads,2024-01,EXTRA", "ads,2024-01,", '"a,b",2024-01,"x"'):
+        path = write(tmp_path / "wide.csv", f"source,campaign\n{row}\n")
+        with pytest.raises(Exception, match="table marketing_costs: row wider than the header"):
+            read_extract(spark, "marketing_costs", path, multi_line).collect()
+
+
 def test_folders_and_missing_files(spark, tmp_path):
     folder = tmp_path / "users"
     folder.mkdir()
