@@ -21,6 +21,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def row_key(df: DataFrame) -> Column:
+    """Hash of all columns of a row: the same for rows that agree in every column, and never null."""
+    return F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, without its lineage."""
     spark = df.sparkSession

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealmill.llm.common import WORD, stored, whole_text
+from dealmill.llm.common import WORD, row_key, stored, whole_text
 
 # Fixed value: weights of the sources in their order, repeating.
 WEIGHTS = [1, 2, 3]
@@ -113,12 +113,15 @@ def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str =
 
 
 def mixed_documents(df: DataFrame) -> DataFrame:
-    """The documents of ``df`` (doc_id unique) that the mix takes, each as often as it is begun, in training order.
+    """The documents of ``df`` that the mix takes, each as often as it is begun, in training order.
 
-    A document cut by the end of the last round is given whole.
+    A document cut by the end of the last round is given whole.  Rows are known by a hash of all columns, so a
+    null or repeated id loses or multiplies nothing; rows that agree in every column are taken one by one.
     """
-    plan = mix(df).where("taken > 0").withColumn("__copy", F.explode(F.expr("sequence(0, cast(ceil(taken / size) as int) - 1)")))
+    keyed = df.withColumn("__key", row_key(df))
+    plan = mix(keyed, doc_id="__key").where("taken > 0").withColumn("__copy", F.explode(F.expr("sequence(0, cast(ceil(taken / size) as int) - 1)")))
     offset = F.col("start") + F.col("__copy") * F.col("source_size")
     at = _time_of(offset, F.col("target"), F.col("first"), F.col("last"))
-    rows = df.join(plan.select("doc_id", "__copy", at.alias("__at")), "doc_id")
-    return rows.repartitionByRange("__at", "doc_id", "__copy").sortWithinPartitions("__at", "doc_id", "__copy").select(*df.columns)
+    places = plan.select(F.col("doc_id").alias("__key"), "__copy", at.alias("__at"))
+    rows = keyed.dropDuplicates(["__key"]).join(places, "__key")
+    return rows.repartitionByRange("__at", "__key", "__copy").sortWithinPartitions("__at", "__key", "__copy").select(*df.columns)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from dealmill.llm.common import components, salted_lookup, small_batches, stored, whole_text
+from dealmill.llm.common import components, row_key, salted_lookup, small_batches, stored, whole_text
 
 RADIUS = 3
 SHINGLE = 3
@@ -114,13 +114,18 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -
     return groups.where(F.size("fps") > 1).select("fps").mapInPandas(link, "a long, b long").distinct()
 
 
+def _rooted(docs: DataFrame, first: Column) -> DataFrame:
+    """(fp, first, root): one row per fingerprint with the aggregate ``first`` and a root that its component shares."""
+    folded = stored(docs.groupBy("fp").agg(first.alias("first")))
+    roots = components(links(folded.select("fp"))).withColumnRenamed("node", "fp")
+    return folded.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row."""
     small_batches(df.sparkSession)
     docs = stored(df.select(F.col(doc_id).alias("doc_id"), _fingerprints(whole_text(text)).alias("fp")))
-    folded = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(links(folded.select("fp"))).withColumnRenamed("node", "fp")
-    rooted = folded.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(docs, F.min("doc_id"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
     named = salted_lookup(docs, classes, ["fp"], "doc_id")
@@ -128,6 +133,11 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
 
 
 def one_per_group(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose doc_id stands for its component; rows without doc_id stay."""
-    kept = near_duplicates(df).where("doc_id = component_id").select("doc_id").distinct()
-    return df.join(kept, "doc_id", "left_semi").select(*df.columns).unionByName(df.where(F.col("doc_id").isNull()))
+    """One row of ``df`` per component: that with the smallest doc_id, null last; equal ids by a hash of the row."""
+    small_batches(df.sparkSession)
+    keyed = df.withColumn("__key", row_key(df))
+    docs = keyed.select(
+        F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__key").alias("row"), _fingerprints(whole_text()).alias("fp")
+    )
+    least = _rooted(docs, F.min("row")).groupBy("root").agg(F.min("first").alias("row"))
+    return keyed.join(least.select("row.__key"), "__key", "left_semi").dropDuplicates(["__key"]).select(*df.columns)

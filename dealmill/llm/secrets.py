@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dealmill.llm.common import salted_lookup, stored, whole_text
+from dealmill.llm.common import row_key, salted_lookup, stored, whole_text
 
 _ASSIGN = (
     "([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
@@ -123,11 +123,14 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(df: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     """``df`` (columns of documents) with live spans replaced by ``<kind>``; texts without any stay as they are.
 
-    Overlapping spans are replaced by the first one's kind.  n_chars is set anew where a text changes.
+    Overlapping spans are replaced by the first one's kind.  n_chars is set anew where a text changes.  Rows
+    find their spans by a hash of all columns, so null and repeated ids make no difference.
     """
-    cuts = scan(df, max_owners).select("doc_id", F.filter("found", lambda s: s["live"]).alias("cuts"))
-    cuts = cuts.where(F.size("cuts") > 0).dropDuplicates(["doc_id"])
-    rows = df.join(cuts, "doc_id", "left")
+    keyed = df.withColumn("__key", row_key(df))
+    cuts = scan(keyed, max_owners, doc_id="__key")
+    cuts = cuts.select(F.col("doc_id").alias("__key"), F.filter("found", lambda s: s["live"]).alias("__cuts"))
+    cuts = cuts.where(F.size("__cuts") > 0).dropDuplicates(["__key"])
+    rows = keyed.join(cuts, "__key", "left")
     start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(done: Column, span: Column) -> Column:
@@ -141,8 +144,8 @@ def redact(df: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
         rest = F.substring(F.col("text"), (done["at"] + 1).cast("int"), F.char_length("text"))
         return F.concat(F.concat_ws("", done["out"]), rest)
 
-    text = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.aggregate("cuts", start, step, finish))
+    text = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(F.aggregate("__cuts", start, step, finish))
     rows = rows.withColumn("text", text).withColumn(
-        "n_chars", F.when(F.col("cuts").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(df.schema["n_chars"].dataType))
+        "n_chars", F.when(F.col("__cuts").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(df.schema["n_chars"].dataType))
     )
     return rows.select(*df.columns)

@@ -73,6 +73,15 @@ def test_redact(docs, texts):
     assert len(rows) == len(texts) + 2
     assert got[17]["text"].startswith("<assign> token=secret: abcdefgh1") and got[5]["text"] == texts[5] and got[0]["text"] is None
     assert got[17]["n_chars"] == len(got[17]["text"])
+    # The first two rows repeat an id or have none; each row is cut at its own spans.
+    assert sorted(r["text"] or "" for r in rows if r["doc_id"] == 17) == [got[17]["text"]] * 2
+
+
+def test_redact_cuts_every_row_at_its_own_spans(spark):
+    rows = [(None, "secret=OnlyMine123", "a", 18), (1, "secret=OnlyMine456", "b", 18), (1, "now secret=OnlyMine789", "c", 22), (1, "none", "d", 4)]
+    got = secrets.redact(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long"))
+    assert sorted(tuple(r) for r in got.collect() if r["doc_id"]) == [(1, "<assign>", "b", 8), (1, "none", "d", 4), (1, "now <assign>", "c", 12)]
+    assert [tuple(r) for r in got.where("doc_id is null").collect()] == [(None, "<assign>", "a", 8)]
 
 
 def test_mix(docs, texts, empty):
@@ -99,10 +108,19 @@ def test_mix_parts_do_not_change_the_mix(docs, monkeypatch):
 
 
 def test_mixed_documents(docs):
-    some = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    times = {r["doc_id"]: -(-r["taken"] // r["size"]) for r in mixing.mix(some).where("taken > 0").collect()}
-    got = [r["doc_id"] for r in mixing.mixed_documents(some).collect()]
-    assert {i: got.count(i) for i in set(got)} == times
+    size = lambda r: len(brute.WORD.findall(r["text"] or ""))
+    given, sizes = docs.collect(), {}
+    for r in given:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + size(r)
+    want, words = brute.targets(sizes), {}
+    for r in (rows := mixing.mixed_documents(docs).collect()):
+        words[r["source"]] = words.get(r["source"], 0) + size(r)
+    longest = max(map(size, given))
+    assert all(want[s] - 0.5 <= words[s] <= want[s] + longest for s in want)
+    # Repeated rows and one without an id are documents of their own: taken, but three times each at most.
+    assert all(rows.count(r) <= 3 * given.count(r) for r in rows) and set(rows) <= set(given)
+    full = [r for r in given if size(r) and round(want[r["source"]]) >= sizes[r["source"]]]
+    assert full and all(rows.count(r) >= given.count(r) for r in full)
 
 
 def test_fingerprints(docs, texts, empty):
@@ -269,6 +287,16 @@ def test_near_duplicates(docs, texts, empty):
     assert near_dup.near_duplicates(empty).collect() == []
 
 
+def test_one_row_stays_of_each_group(docs, texts):
+    got = near_dup.one_per_group(docs).collect()
+    fp = {i: brute.simhash(t or "") for i, t in enumerate(texts)}
+    links = [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 3]
+    assert sorted(r["doc_id"] for r in got) == sorted(set(brute.classes(links, fp).values()))
+    assert set(got) <= set(docs.collect()) and got[0].__fields__ == docs.columns
+    alone = docs.where("doc_id is null")
+    assert near_dup.one_per_group(alone.unionByName(alone)).collect() == alone.collect()
+
+
 def test_covering_tables_lose_no_link(spark):
     rnd = random.Random(9)
     values = [rnd.getrandbits(64) for _ in range(80)]
