@@ -25,6 +25,7 @@ RATES = {
     "repeat_rate": (0.25, False),
     "word_length": (2.5, True),
 }
+UPPER, MARKS = "[A-ZÀ-ÖØ-Þ]", "[!-/:-@\\[-`{-~]"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SALTS = 32
 
@@ -76,8 +77,8 @@ def measure(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
         count("[#*$%&|<>]").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
-        count("[A-ZÀ-ÖØ-Þ]").alias("n_upper"),
-        count("[!-/:-@\\[-`{-~]").alias("n_marks"),
+        count(UPPER).alias("n_upper"),
+        count(MARKS).alias("n_marks"),
     )
     docs = _repeat_words(docs).drop("words")
     rate = lambda top, bottom: F.when(F.col(bottom) > 0, F.col(top).cast("double") / F.col(bottom).cast("double"))

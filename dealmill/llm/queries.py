@@ -1,4 +1,4 @@
-"""Registered queries of the training-data operators and, where SQL can say it, their DuckDB SQL."""
+"""Registered queries of the training-data operators; ``SQL`` holds the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_model, quality_rules, repeats, secrets, toxicity, url_filter
 from dealmill.llm.common import table
+from dealmill.llm.oracle import SQL
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -73,5 +74,3 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
-
-SQL: dict[str, str] = {}

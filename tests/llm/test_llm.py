@@ -4,13 +4,14 @@ import random
 import zlib
 
 import brute
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import types as T
 
-from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_model, quality_rules, repeats, secrets, toxicity, url_filter
+from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_model, quality_rules, queries, repeats, secrets, toxicity, url_filter
 from dealmill.llm.common import components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kind string, h long, size long"
@@ -399,3 +400,14 @@ def test_pipeline_stages(spark, tmp_path):
     assert all(KEY not in r["text"] for r in kept["secrets"])
     final = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(map(str, final.collect())) == sorted(map(str, kept["tokens"]))
+
+
+@pytest.mark.parametrize("name", sorted(queries.SQL))
+def test_sql_gives_the_same_rows(spark, docs, tmp_path, name):
+    docs.drop("kind", "h", "size").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = con.execute(queries.SQL[name])
+    names, got = [c[0] for c in want.description], queries.QUERIES[name](spark, str(tmp_path))
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(str, map(tuple, got.select(*names).collect()))) == sorted(map(str, want.fetchall()))
