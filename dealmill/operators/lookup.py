@@ -12,12 +12,6 @@ from dealmill.session import is_small
 
 ROWS_PER_TASK = 2_000_000
 
-# At most this many keys are spread by hand, which bounds the broadcast list of hot keys;
-# lesser skew is left to the adaptive skew join.
-MAX_HOT_KEYS = 256
-_TRACKED_KEYS = 1024
-_SKETCH_GROUPS = 256
-
 _SALT = "__salt"
 
 
@@ -25,9 +19,9 @@ _SALT = "__salt"
 class Spread:
     """How large lookups are laid out.
 
-    A key with more than ``rows_per_task`` rows is cut into parts.  ``keep`` stores a small
-    intermediate table and gives it back (see ``WorkArea``); with it, sizes are known before
-    the large join is planned.  Without it everything stays one lazy plan.
+    ``keep`` stores an intermediate table and gives it back (see ``WorkArea``); with it, every key with
+    more than ``rows_per_task`` rows is known before the large join is planned and is cut into parts.
+    Without it everything stays one lazy plan, and skew is left to the adaptive skew join.
     """
 
     rows_per_task: int = ROWS_PER_TASK
@@ -38,24 +32,13 @@ LAZY = Spread()
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """(key, splits) of the most frequent keys, at most ``MAX_HOT_KEYS`` rows.
+    """(key, splits) of every key with more than ``rows_per_task`` rows, counted exactly.
 
-    One frequent-items sketch per map task over the key column alone, merged in groups and
-    then once more; nothing is shuffled by key.  The sketch only decides how rows are spread,
-    never which rows match.
+    Reads the key column alone; each map task sends one count per key it holds.
     """
-    keys = df.where(F.col(key).isNotNull()).select(F.col(key).alias("__key"))
-    partial = keys.groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("__group")).agg(
-        F.expr(f"approx_top_k_accumulate(__key, {_TRACKED_KEYS})").alias("sketch")
-    )
-    # Grouped by a constant: merging without a group fails on tasks that hold no sketch.
-    merged = partial.groupBy(F.lit(0).alias("__all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {_TRACKED_KEYS})").alias("sketch")
-    )
-    top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})")).alias("top"))
-    return top.where(F.col("top.count") > rows_per_task).select(
-        F.col("top.item").alias(key),
-        F.ceil(F.col("top.count") / F.lit(rows_per_task)).cast("int").alias("__splits"),
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    return counted.where(F.col("__n") > rows_per_task).select(
+        key, F.ceil(F.col("__n") / F.lit(rows_per_task)).cast("int").alias("__splits")
     )
 
 
@@ -71,24 +54,24 @@ def lookup(
     """Join ``rows`` to the one row of ``parents`` with the same ``key``.
 
     ``parents`` must hold each key once.  A small parent is broadcast by Spark.  Otherwise both
-    sides are shuffled by key, with hot keys cut into parts: each row of a hot key goes to one
-    part, chosen by ``spread_by`` (a column that tells rows apart), and the parent row is
-    repeated once per part.  Rows without a key match nothing and are spread the same way.
+    sides are shuffled by key.  Where tables can be kept, hot keys are cut into parts: each row of a hot
+    key goes to one part, chosen by ``spread_by`` (a column that tells rows apart), and the parent row is
+    repeated once per part.  Rows without a key match nothing and are spread the same way.  The list of
+    hot keys is broadcast when Spark finds its stored size within the limit, else joined by a shuffle.
 
     Hot keys are counted in ``counted_in`` (default ``rows``): name the stored table the rows
     come from, so that earlier steps are not run again for the count.
     """
-    if is_small(parents):
+    if is_small(parents) or not spread.keep:
         return rows.join(parents, key, how)
 
-    hot = hot_keys(rows if counted_in is None else counted_in, key, spread.rows_per_task)
-    if spread.keep:
-        hot = spread.keep(hot)
+    hot = spread.keep(hot_keys(rows if counted_in is None else counted_in, key, spread.rows_per_task))
+    cold = hot.isEmpty()
 
     def with_splits(df: DataFrame) -> DataFrame:
-        if spread.keep and hot.isEmpty():
+        if cold:
             return df.withColumn("__splits", F.lit(1))
-        return df.join(F.broadcast(hot), key, "left").withColumn("__splits", F.coalesce("__splits", F.lit(1)))
+        return df.join(hot, key, "left").withColumn("__splits", F.coalesce("__splits", F.lit(1)))
 
     part = F.xxhash64(F.col(spread_by))
     salt = F.when(F.col(key).isNull(), F.pmod(part, F.lit(1_000_000))).otherwise(F.pmod(part, F.col("__splits")))

@@ -96,7 +96,11 @@ def build(
 
 
 class TypedTables(Mapping[str, DataFrame]):
-    """The typed tables of one load as lazy plans over the raw tables, each planned when asked for."""
+    """The typed tables of one load over the raw tables, each planned when asked for.
+
+    Without ``spread.keep`` all are lazy plans.  With it, each entity is computed and stored once when it is first
+    needed; its typed table and its issues are read from there.
+    """
 
     def __init__(self, raw: Mapping[str, DataFrame], spread: Spread = LAZY):
         self.raw, self.spread = raw, spread
@@ -105,7 +109,9 @@ class TypedTables(Mapping[str, DataFrame]):
 
     def result(self, table: str) -> E.Result:
         if table not in self.results:
-            self.results[table] = build(table, self.raw, self.parents, self.spread)
+            result = build(table, self.raw, self.parents, self.spread)
+            keep = self.spread.keep
+            self.results[table] = result.read_from(keep(result.marked)) if keep else result
         return self.results[table]
 
     @cached_property
@@ -167,16 +173,8 @@ def run_load(
 
     work = store.begin_work(checkpoint_dir(spark))
     try:
-        parents = Parents(raw)
-        staged: dict[str, E.Result] = {}
-        for table in LOAD_ORDER:
-            result = build(table, raw, parents, Spread(keep=work.keep))
-            staged[table] = result.read_from(work.keep(result.marked))
-
-        version.write("sources", seed_sources(spark))
-        for table, result in staged.items():
-            version.write(table, result.core)
-        version.write("data_quality_issues", issue_log([r.issues for r in staged.values()]))
+        for table, typed in TypedTables(raw, Spread(keep=work.keep)).items():
+            version.write(table, typed)
     finally:
         work.drop()
 

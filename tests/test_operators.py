@@ -50,20 +50,32 @@ def test_hot_keys_are_found(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_equals_a_plain_join(spark, no_broadcast, how):
+def test_lookup_equals_a_plain_join(spark, no_broadcast, tmp_path, how):
     rows = skewed(spark)
     parents = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(30)], "k string, v int")
-    got = lookup(rows, parents, "k", "id", how, Spread(200)).select("id", "k", "v")
-    assert bag(got) == bag(rows.join(parents, "k", how).select("id", "k", "v"))
+    want = bag(rows.join(parents, "k", how).select("id", "k", "v"))
+    for spread in (Spread(200), Spread(200, WorkArea(spark, str(tmp_path)).keep)):
+        assert bag(lookup(rows, parents, "k", "id", how, spread).select("id", "k", "v")) == want
 
 
-def test_lookup_spreads_a_hot_key(spark, no_broadcast):
+def test_lookup_spreads_every_hot_key(spark, no_broadcast, tmp_path):
+    keep = WorkArea(spark, str(tmp_path)).keep
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         parents = spark.createDataFrame([("hot", 1)], "k string, v int")
-        joined = lookup(skewed(spark), parents, "k", "id", "inner", spread=Spread(100))
+        joined = lookup(skewed(spark), parents, "k", "id", "inner", spread=Spread(100, keep))
         sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-        assert sum(sizes) == 1000 and len(sizes) > 1 and max(sizes) < 1000
+        assert sum(sizes) == 1000 and len(sizes) > 1 and max(sizes) < 500
+
+        # However many keys are hot, each is cut.
+        rows = spark.range(12_000).select("id", F.expr("'k' || (id % 400)").alias("k"))
+        assert hot_keys(rows, "k", 10).count() == 400
+        parents = rows.select("k").distinct()
+        joined = lookup(rows, parents, "k", "id", "left", spread=Spread(10, keep))
+        placed = joined.withColumn("task", F.spark_partition_id())
+        places = placed.groupBy("k").agg(F.count_distinct("task").alias("tasks"), F.count(F.lit(1)).alias("n"))
+        found = places.collect()
+        assert len(found) == 400 and all(r["n"] == 30 for r in found) and sum(r["tasks"] > 1 for r in found) > 300
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 

@@ -27,8 +27,9 @@ from dealmill.operators.rules import Rule, apply_rules, flag_illegal_transitions
 from dealmill.plans import catalog, load
 from dealmill.plans import reports as R
 from dealmill.session import checkpoint_dir, configure
-from dealmill.sources.extracts import read_extracts
+from dealmill.sources.extracts import DEFAULT_TEMPLATE, read_extracts
 from dealmill.sources.json_out import to_json_rows
+from dealmill.sources.store import TableStore
 from workload import oracle as O
 from workload.views import CORE, RAW
 
@@ -241,18 +242,44 @@ def _cells_sql(table: str) -> str:
     return f"select '{table}' as \"table\", count(*) as rows, {filled} as filled_cells from raw_{table}"
 
 
-# Whole raw tables written as text extracts and read back: rows, and cells that hold something.
-@register("s1_csv_roundtrip_counts", O.raw() + " " + " union all ".join(_cells_sql(t) for t in schemas.RAW_TABLES))
-def _(raw: Views) -> DataFrame:
+def _write_extracts(raw: Views, template: str) -> str:
+    """All raw tables as text extracts in a new shared folder."""
     folder = f"{checkpoint_dir(raw.spark)}/extracts-{uuid.uuid4().hex}"
     for table in schemas.RAW_TABLES:
         raw[table].select(*schemas.RAW_COLUMNS[table]).write.csv(
-            f"{folder}/{table}", header=True, quote='"', escape='"', nullValue="", emptyValue="",
+            f"{folder}/{template.format(table=table)}", header=True, quote='"', escape='"', nullValue="", emptyValue="",
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
         )
-    extracts = read_extracts(raw.spark, folder, "{table}")
+    return folder
+
+
+def _rows_sql(table: str) -> str:
+    cells = ", ".join(f"coalesce(nullif({c}, ''), '')" for c in schemas.RAW_COLUMNS[table])
+    return f"select '{table}' as \"table\", md5(concat_ws('|', {cells})) as cells, count(*) as rows from raw_{table} group by all"
+
+
+def _rows(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table, cells, rows): every different row of the given raw tables, as a hash of its cells in order."""
+    parts = []
+    for table, df in tables.items():
+        cells = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in schemas.RAW_COLUMNS[table]))
+        parts.append(df.groupBy(F.lit(table).alias("table"), F.md5(cells).alias("cells")).agg(F.count(F.lit(1)).alias("rows")))
+    return K.union_all(parts)
+
+
+_ROWS = O.raw() + " " + " union all ".join(_rows_sql(t) for t in schemas.RAW_TABLES)
+
+
+@register("s1_csv_roundtrip_rows", _ROWS)
+def _(raw: Views) -> DataFrame:
+    return _rows(read_extracts(raw.spark, _write_extracts(raw, "{table}"), "{table}"))
+
+
+# Whole raw tables written as text extracts and read back: rows, and cells that hold something.
+@register("s1_csv_roundtrip_counts", O.raw() + " " + " union all ".join(_cells_sql(t) for t in schemas.RAW_TABLES))
+def _(raw: Views) -> DataFrame:
     counts = []
-    for table, df in extracts.items():
+    for table, df in read_extracts(raw.spark, _write_extracts(raw, "{table}"), "{table}").items():
         filled = " + ".join(f"count({c})" for c in schemas.RAW_COLUMNS[table])
         counts.append(df.selectExpr("count(*) as rows", f"{filled} as filled_cells").select(
             F.lit(table).alias("table"), "rows", "filled_cells"
@@ -537,6 +564,32 @@ def _(raw: Views) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- extracts to published tables
+
+
+def _published(raw: Views) -> TableStore:
+    """A store into which the whole load was run from text extracts with their default names."""
+    root = f"{checkpoint_dir(raw.spark)}/warehouse-{uuid.uuid4().hex}"
+    load.run_load(raw.spark, _write_extracts(raw, DEFAULT_TEMPLATE), root, strict=False, multi_line=False)
+    return TableStore(raw.spark, root)
+
+
+@register("stored_load_summary", SQL["run_summary"])
+def _(raw: Views) -> DataFrame:
+    return K.run_summary(_published(raw).tables())
+
+
+@register("stored_load_issue_log", SQL["issue_log"])
+def _(raw: Views) -> DataFrame:
+    return bare(_published(raw).core("data_quality_issues"))
+
+
+@register("stored_load_raw", _ROWS)
+def _(raw: Views) -> DataFrame:
+    store = _published(raw)
+    return _rows({table: store.raw(table) for table in schemas.RAW_TABLES})
+
+
 # ---------------------------------------------------------------- reports end to end
 
 _AMOUNTS, _TODAY = [O.amounts("t_")], [O.today("t_")]
