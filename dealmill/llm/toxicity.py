@@ -5,19 +5,23 @@ Kernel: a word is the bag of its three-letter subsequences, gaps allowed within
 or missing letters lower it only a little.  A sentence, and a text, is as near to a landmark as its nearest
 word, hence a text is as toxic as its sentences are.  Nearness k enters as ``exp(SHARP * (k - 1))``.
 
-Landmarks are the words that tell toxic from other labelled texts best.  Nystroem features (nearness times the
+Landmarks are the words that tell toxic from other labelled texts best; words that do so by fewer than
+``EVIDENCE`` standard errors are taken only if there are no others.  Nystroem features (nearness times the
 inverse root of the landmarks' kernel matrix) feed a linear machine with hinge loss; its margins become
-scores by a logistic fit.  Landmarks and model are learnt from at most about ``TRAIN_DOCS`` labelled documents,
-chosen by hash; every whole text is scored.
+scores by a logistic fit.  A labelled text is learnt a second time with a letter inserted in each of these landmarks,
+so the machine knows how near a disguised insult is.
+Landmarks and model are learnt from at most about ``TRAIN_DOCS`` labelled documents, chosen by hash; every whole
+text is scored.
 
 Single letters that follow one another are read as a word too.  A null or empty text has no words and gets
-the score of no nearness.  Without labels of both kinds every score is 0.  Repeated rows, null ids and other
-columns make no difference.  An empty table gives no rows.
+the score of no nearness.  Without labels of both kinds, or any word in the labelled texts, every score is 0.
+Repeated rows, null ids and other columns make no difference.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from functools import lru_cache
 from itertools import combinations
 
@@ -25,15 +29,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType
 
 from dealmill.llm.common import hash_line, small_batches
 
 TRAIN_DOCS = 6000
 LANDMARKS = 64
+EVIDENCE, SEEN = 4.0, 3
 SPAN, DECAY, SHARP = 6, 0.75, 10.0
 LONGEST = 24
-REMEMBERED = 200_000
+REMEMBERED = 12_800_000
+_CELLS = 1 << 22
 _PIECE = 20_000
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_][^\w\s]?\s){3,}[^\W\d_](?!\w)")
 # Signs that stand for letters.
@@ -71,6 +77,8 @@ class Nearness:
             np.add.at(self.table[:, j], found[0], weight)
             norm = np.sqrt((self.table[:, j] ** 2).sum())
             self.table[:, j] /= norm or 1.0
+        self.shared = self.table.any(axis=1)
+        self.remembered = REMEMBERED // self.table.shape[1]
         self.rows = np.zeros((1024, self.table.shape[1]), np.float32)
         self.known: dict[str, int] = {}
 
@@ -89,11 +97,20 @@ class Nearness:
                     at_length = by_length.setdefault(len(window), ([], []))
                     at_length[0].append(i)
                     at_length[1].append(window)
-        for places, windows in by_length.values():
-            for k in range(0, len(places), 2048):
-                found, weight = _bags(np.stack(windows[k : k + 2048]))
-                near = np.einsum("wsj,s->wj", self.table[found], weight)
-                np.maximum.at(self.rows, places[k : k + 2048], np.minimum(near, 1.0))
+        for length, (places, windows) in by_length.items():
+            step = max(1, _CELLS // (len(_places(length)[0]) * self.rows.shape[1]))
+            for k in range(0, len(places), step):
+                found, weight = _bags(np.stack(windows[k : k + step]))
+                word, at = np.nonzero(self.shared[found])
+                if not len(word):
+                    continue
+                first_of = np.flatnonzero(np.diff(word, prepend=-1))
+                near = np.add.reduceat(self.table[found[word, at]] * weight[at, None], first_of, axis=0)
+                rows = np.array(places[k : k + step])[word[first_of]]
+                if length == LONGEST:  # a long word has several windows of this length, but one of each other
+                    np.maximum.at(self.rows, rows, np.minimum(near, 1.0))
+                else:
+                    self.rows[rows] = np.maximum(self.rows[rows], np.minimum(near, 1.0))
 
     def of(self, text: str) -> np.ndarray:
         """Greatest nearness of any word of ``text`` to each landmark."""
@@ -107,7 +124,7 @@ class Nearness:
             piece = words[at : at + _PIECE]
             new = [w for w in piece if w not in self.known]
             if new:
-                if len(self.known) + len(new) > REMEMBERED:
+                if len(self.known) + len(new) > self.remembered:
                     self.known.clear()
                     new = piece
                 self._learn(new)
@@ -120,6 +137,22 @@ def _nearness(landmarks: tuple[str, ...]) -> Nearness:
     return Nearness(list(landmarks))
 
 
+def _bare(word: str) -> str:
+    return "".join(c for c in word.lower() if c.isalpha())
+
+
+def disguised(text: str, sure: set[str]) -> str | None:
+    """``text`` with a letter inserted in each word of ``sure`` of four letters or more; null where it has none."""
+    words, hit = text.split(), False
+    for i, word in enumerate(words):
+        word = _bare(word)
+        if len(word) >= 4 and word in sure:
+            draw = zlib.crc32((word + text[:50]).encode("utf-8", "replace"))
+            at = 1 + draw % (len(word) - 1)
+            words[i], hit = word[:at] + chr(97 + (draw >> 8) % 26) + word[at:], True
+    return " ".join(words) if hit else None
+
+
 def fit(near: np.ndarray, toxic: np.ndarray, landmarks: list[str], rounds: int = 2000, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights on sharpened nearness and bias, whose sum is the log-odds of "toxic"."""
     of = Nearness(landmarks)
@@ -154,25 +187,36 @@ def train(df: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> tuple[l
     # About ``sample`` rows of two small columns, whatever the size of the table.
     docs = df.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t")).join(F.broadcast(chosen), "doc_id")
     words = docs.select("toxic", F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower("t"), r"[^\p{L}\s]", ""), r"\s+"))).alias("word"))
-    words = words.where(F.length("word").between(4, 12)).groupBy("word").agg(
+    words = words.where(F.length("word").between(3, LONGEST)).groupBy("word").agg(
         F.count_if("toxic").cast("double").alias("a"), F.count_if(~F.col("toxic")).cast("double").alias("b")
     )
     totals = {r["toxic"]: r["n"] for r in docs.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(totals) < 2:
         return [], np.zeros(1), -40.0
-    a, b = F.col("a") / float(totals[True]), F.col("b") / float(totals[False])
+    n_a, n_b = float(totals[True]), float(totals[False])
+    a, b, share = F.col("a") / n_a, F.col("b") / n_b, (F.col("a") + F.col("b")) / (n_a + n_b)
+    error = F.sqrt(share * (1 - share) * (1 / n_a + 1 / n_b))
     telling = (a - b) / F.sqrt(b + 0.01)
-    landmarks = [r["word"] for r in words.orderBy(telling.desc(), "word").limit(LANDMARKS).collect()]
-    rows = docs.select("toxic", _near(F.col("t"), landmarks).alias("x")).toPandas()
+    is_sure = (F.col("a") >= SEEN) & (a - b >= EVIDENCE * error)
+    best = words.orderBy(telling.desc(), "word").limit(LANDMARKS).select("word", is_sure.alias("sure")).collect()
+    sure = {r["word"] for r in best if r["sure"]}
+    # Words of chance would tell the disguised copies from clean texts by themselves; they serve only where no word is sure.
+    landmarks = [r["word"] for r in best if not sure or r["sure"]]
+    if not landmarks:
+        return [], np.zeros(1), -40.0
+    rows = docs.select("toxic", F.explode(_near(F.col("t"), landmarks, sure)).alias("x")).toPandas()
     near = np.stack([np.frombuffer(x, np.float32) for x in rows["x"]])
     return landmarks, *fit(near, rows["toxic"].to_numpy(bool), landmarks)
 
 
-def _near(text: Column, landmarks: list[str]) -> Column:
-    @F.pandas_udf(BinaryType())
+def _near(text: Column, landmarks: list[str], sure: set[str]) -> Column:
+    """Nearness of a text, and of its disguised copy where it has words of ``sure``."""
+
+    @F.pandas_udf(ArrayType(BinaryType()))
     def near(texts: pd.Series) -> pd.Series:
         of = _nearness(tuple(landmarks))
-        return pd.Series([of.of(t).tobytes() for t in texts], dtype=object)
+        both = ((t, disguised(t, sure)) for t in texts)
+        return pd.Series([[of.of(t).tobytes() for t in pair if t is not None] for pair in both], dtype=object)
 
     return near(text)
 

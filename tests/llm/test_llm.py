@@ -377,6 +377,22 @@ def test_toxicity(spark, empty):
     assert {r["score"] < 1e-9 for r in toxicity.score(df, train.limit(0)).collect()} == {True}
 
 
+def test_inserted_letters_do_not_hide_an_insult(spark):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abdeghiklmnorstu") for _ in range(rnd.randint(2, 9)))
+    rows = []
+    for i in range(600):
+        words = [word() for _ in range(rnd.randint(20, 90))]
+        rows.append((i, " ".join([*words, *([rnd.choice(["pathetic", "worthless", "disgusting", "oaf"])] if i % 5 == 0 else [])])))
+    clean = " ".join(word() for _ in range(40))
+    hidden = [clean + " WORTHXLESS!! " + clean, clean + " worthxless", "you pathetixc " + clean, clean + " OAF", clean]
+    df = spark.createDataFrame(rows + list(enumerate(hidden, 1000)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["score"] >= 0.5 for r in toxicity.score(df, labels).collect()}
+    assert [got[i] for i in range(1000, 1005)] == [True, True, True, True, False]
+    assert sum(got[i] for i in range(600) if i % 5) <= 5
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
