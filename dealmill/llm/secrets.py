@@ -2,7 +2,8 @@
 
 Base kinds are found by pattern.  ``token`` spans are added: long runs of token characters that hold digits
 and letters and no base span, kept only where the value looks live.  Every candidate value is hashed; a value
-is *live* when at most ``MAX_OWNERS`` owners have it in all their repositories, else a widely copied *example*.
+is *live* when at most ``MAX_OWNERS`` owners have it, in at most ``MAX_REPOSITORIES`` repositories, else a widely
+copied *example*.
 
 A null text is empty and has no spans; null owners and repositories count as one owner or repository of their
 own; rows of the same doc_id are scanned one by one; an empty table gives no rows.
@@ -28,6 +29,7 @@ BASE_KINDS = [
 ADDED_KIND = ("token", "[A-Za-z0-9+/_=-]{24,}", 0, 24)
 KINDS = [*BASE_KINDS, ADDED_KIND]
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 20
 
 
 def _found(text: str, pattern: str, group: int) -> Column:
@@ -89,15 +91,18 @@ def ownership(spans: DataFrame) -> DataFrame:
     return repositories.groupBy("hash").agg(F.count(F.lit(1)).alias("n_repositories")).join(n_owners, "hash")
 
 
-def scan(df: DataFrame, max_owners: int = MAX_OWNERS, **columns: str) -> DataFrame:
-    """(doc_id, found) of every row: ``found`` is an array of spans by start and kind, with a flag ``live``."""
+def scan(df: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, **columns: str) -> DataFrame:
+    """(doc_id, found) of every row.
+
+    ``found`` is an array of spans by start and kind, with a flag ``live`` and the counts n_repositories and n_owners.
+    """
     scanned = stored(candidates(df, **columns))
     spans = stored(_spans(scanned))
     judged = salted_lookup(spans, ownership(spans), ["hash"], "row")
-    judged = judged.withColumn("live", F.col("n_owners") <= max_owners)
+    judged = judged.withColumn("live", (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories))
     judged = judged.where((F.col("kind_no") < len(BASE_KINDS)) | F.col("live"))
     grouped = judged.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "live"))).alias("found")
+        F.array_sort(F.collect_list(F.struct("start", "kind_no", "end", "kind", "live", "n_repositories", "n_owners"))).alias("found")
     )
     return scanned.select("row", "doc_id").join(grouped, "row", "left").select(
         "doc_id", F.coalesce("found", F.array().cast(grouped.schema["found"].dataType)).alias("found")
@@ -120,7 +125,7 @@ def digest(found: DataFrame) -> DataFrame:
     )
 
 
-def redact(df: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def redact(df: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """``df`` (columns of documents) with live spans replaced by ``<kind>``; texts without any stay as they are.
 
     Overlapping spans are replaced by the first one's kind.  n_chars is set anew where a text changes.  Rows

@@ -69,6 +69,17 @@ def test_widely_copied_secret_is_an_example(spark):
     assert [got[i]["n_live"] for i in range(6)] == [0] * 5 + [1] and got[0]["n_example"] == 1
 
 
+def test_value_copied_within_one_source_is_an_example(spark):
+    most = secrets.MAX_REPOSITORIES
+    rows = [(i, f"secret={KEY}" if i <= most else "secret=Copied123456", "one", 0) for i in range(2 * most + 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    found = {r["doc_id"]: r["found"] for r in secrets.scan(df).collect()}
+    assert {(s["live"], s["n_repositories"], s["n_owners"]) for i in range(most + 1) for s in found[i]} == {(False, most + 1, 1)}
+    assert {(s["live"], s["n_repositories"], s["n_owners"]) for i in range(most + 1, 2 * most + 1) for s in found[i]} == {(True, most, 1)}
+    got = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert got[0] == f"secret={KEY}" and got[2 * most] == "<assign>"
+
+
 def test_redact(docs, texts):
     rows, got = by_id(secrets.redact(docs))
     assert len(rows) == len(texts) + 2
