@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dealmill.llm.collocations import ENDS, LEAST, LONGEST, TOP
 from dealmill.llm.common import BLANK, WORD
 from dealmill.llm.mixing import MAX_REPEATS, SCHEDULES, WEIGHTS
 from dealmill.llm.quality_rules import COUNTS, MARKS, RATES, SPREADS, UPPER
@@ -153,9 +154,61 @@ def _repeats() -> str:
     from sized left join removed using (row) left join kept using (row)"""
 
 
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _ranked_search(k: int = 10) -> str:
+    found = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+    return f"""
+    with docs as (select row_number() over () as row, doc_id, {found} as terms from documents),
+    items as (select row_number() over () as place, item_id, list_distinct({found}) as terms from benchmark),
+    sized as (select row, doc_id, cast(len(terms) as bigint) as n from docs where len(terms) > 0),
+    totals as (select cast(count(*) as bigint) as n_docs, cast(sum(n) as bigint) as n_terms from sized),
+    counted as (select row, term, cast(count(*) as bigint) as tf from (select row, unnest(terms) as term from docs) w group by row, term),
+    weighed as (
+        select term, cast(floor(1000 * ln(cast(2 * n_docs + 2 as double) / cast(2 * df + 1 as double))) as bigint) as w
+        from (select term, count(*) as df from counted group by term) d, totals),
+    asked as (select place, item_id, unnest(terms) as term from items),
+    scored as (
+        select place, item_id, row, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) as bigint) as score
+        from asked join weighed using (term) join counted using (term) join sized using (row), totals
+        group by place, item_id, row, doc_id),
+    ranked as (
+        select *, row_number() over (partition by place order by score desc, doc_id nulls last) as rank from scored where score > 0)
+    select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= {k}"""
+
+
+def _collocations() -> str:
+    return f"""
+    with pieces as (select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWERED}, '{ENDS}')) as piece from documents),
+    spoken as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from pieces),
+    places as (select lang, words, unnest(range(1, len(words) + 1)) as i from spoken),
+    sized as (select lang, words, i, unnest(range(1, {LONGEST} + 1)) as size from places),
+    counted as (
+        select lang, size, array_to_string(words[i : i + size - 1], ' ') as phrase, cast(count(*) as bigint) as f
+        from sized where i + size - 1 <= len(words) group by all having count(*) >= {LEAST}),
+    totals as (select lang, cast(sum(len(words)) as bigint) as n from spoken group by lang),
+    candidates as (select *, string_split(phrase, ' ') as words from counted where size > 1),
+    cuts as (select lang, phrase, f as a, size, words, unnest(range(1, size)) as k from candidates),
+    scored as (
+        select c.lang, c.phrase, a, l.f as l, r.f as r, n, k, (1000::hugeint * a * n) // (l.f::hugeint * r.f) as score
+        from cuts c join totals using (lang)
+        join counted l on l.lang = c.lang and l.phrase = array_to_string(words[1 : k], ' ')
+        join counted r on r.lang = c.lang and r.phrase = array_to_string(words[k + 1 : c.size], ' ')),
+    lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+    inside as (select lang, f, size, words, unnest(range(2, size)) as m from candidates where size > 2),
+    parts as (select lang, f, size, words, m, unnest(range(1, size - m + 2)) as b from inside),
+    around as (select lang, array_to_string(words[b : b + m - 1], ' ') as phrase, max(f) as f from parts group by all),
+    kept as (select s.* from lowest s left join around o using (lang, phrase) where o.f is null or 100 * o.f < 100 * a),
+    ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+    select lang, rank, phrase, a, l, r, n, cast(score as bigint) as score from ranked where rank <= {TOP}"""
+
+
 SQL = {
     "op1_secret_scan": _secrets(),
     "op2_source_mix": _mix(),
     "op4_quality_rules": _quality(),
     "op7_repeated_strings": _repeats(),
+    "op11_ranked_search": _ranked_search(),
+    "op12_collocations": _collocations(),
 }

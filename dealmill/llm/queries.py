@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_model, quality_rules, repeats, secrets, toxicity, url_filter
+from dealmill.llm import (
+    bpe, collocations, fingerprints, mixing, near_dup, pieces, quality_model, quality_rules, ranked_search, repeats, secrets, toxicity, url_filter,
+)
 from dealmill.llm.common import table
 from dealmill.llm.oracle import SQL
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES)))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_source_mix": op2_source_mix,
@@ -73,4 +88,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
+    "op13_sentencepiece": op13_sentencepiece,
 }

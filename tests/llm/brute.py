@@ -1,6 +1,7 @@
 """Plain Python versions of the training-data operators, for comparison on small tables."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -78,3 +79,55 @@ def classes(links, nodes):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     return {n: find(n) for n in nodes}
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ascii_lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def ranked(docs, items, k=10):
+    """(place of the item, rank, doc_id, score); docs: (doc_id, text) rows, items: texts."""
+    counts = [(d, Counter(TERM.findall(ascii_lower(t)))) for d, t in docs]
+    counts = [(d, c, sum(c.values())) for d, c in counts if c]
+    n_docs, n_terms = len(counts), sum(n for _, _, n in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    out = []
+    for place, text in enumerate(items):
+        found = []
+        for d, c, n in counts:
+            score = 0
+            for t in set(TERM.findall(ascii_lower(text))) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * ((10**9 * c[t]) // (1000 * c[t] + 8 * (10 + 90 * n * n_docs // n_terms)))
+            if score > 0:
+                found.append((-score, d is None, d or 0))
+        for rank, (score, none, d) in enumerate(sorted(found)[:k], 1):
+            out.append((place, rank, None if none else d, -score))
+    return out
+
+
+def collocations(rows, least, top):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", ascii_lower(text)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(words)
+            for size in range(1, 6):
+                f[lang or "und"].update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    out = []
+    for lang, counts in f.items():
+        candidates = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in candidates.items():
+            score, _, l, r = min((1000 * a * n[lang] // (counts[p[:k]] * counts[p[k:]]), k, counts[p[:k]], counts[p[k:]]) for k in range(1, len(p)))
+            inside = any(
+                len(q) > len(p) and 100 * b >= 100 * a and any(q[i : i + len(p)] == p for i in range(len(q) - len(p) + 1)) for q, b in candidates.items()
+            )
+            if not inside:
+                rows.append((-score, -a, " ".join(p).encode(), l, r))
+        out += [(lang, i, p.decode(), -a, l, r, n[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top], 1)]
+    return sorted(out)
