@@ -1,5 +1,6 @@
 """Reading text extracts and writing JSON."""
 
+import csv
 import json
 from datetime import date, datetime
 from decimal import Decimal
@@ -7,6 +8,7 @@ from decimal import Decimal
 import pytest
 
 from dealmill.sources.extracts import read_extract
+from dealmill.sources.records import lines
 from dealmill.sources.json_out import to_json_rows, write_json_rows
 
 
@@ -91,3 +93,88 @@ def test_json_rows(spark, tmp_path):
     assert list(json.loads(lines[0])) == ["k", "m", "d", "t", "n", "f"]
     write_json_rows(df, str(tmp_path / "out"))
     assert spark.read.text(str(tmp_path / "out")).count() == 2
+
+
+AWKWARD = [
+    ["C1", "one\ntwo", "", ' 5" pipe ', None, "2026"], ["C2", 'a ""b"" "', "x,y", "", "", ""], ["C3", "\n\n", '"', "end", "", "1"],
+    ["C4", "crlf\r\nkept", "z", "", "", ""], ["C5", "plain", "5\" bare", "q\"\"q", "", ""], ["C6", "Ж" * 50, "", "", "last\n", ""],
+]
+
+
+def _csv_text(rows, end="\n"):
+    """Rows as CSV; fields with line breaks, commas or a quote in front are quoted, others stay bare, quotes and all."""
+    def field(value):
+        value = value or ""
+        quoted = any(c in value for c in "\r\n,") or value.startswith('"')
+        return '"' + value.replace('"', '""') + '"' if quoted else value
+
+    return "".join(",".join(map(field, row)) + end for row in rows)
+
+
+@pytest.mark.parametrize("split", [7, 64, 1000, 10**7])
+def test_records_and_ids_do_not_depend_on_splits(spark, tmp_path, split):
+    """Three files of records with line breaks, read in splits of a few bytes, against Python's csv reader."""
+    header = ["company_id", "name", "inn", "city", "industry", "created_at"]
+    want = []
+    for name, copies in (("b", 3), ("a", 1), ("c", 2)):
+        path = tmp_path / f"{name}.csv"
+        path.write_bytes(("﻿" * (name == "b") + _csv_text([header, *AWKWARD * copies]) + "\n \n" * (name == "a")).encode())
+    for name in "abc":
+        with open(tmp_path / f"{name}.csv", encoding="utf-8-sig", newline="") as file:
+            rows = list(csv.reader(file))[1:]
+        want += [tuple(v or None for v in row) for row in rows if len(row) == 6]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_extract(spark, "companies", str(tmp_path))
+        got = df.orderBy("id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r)[1:] for r in got] == want
+    assert [r["id"] for r in got] == list(range(1, len(want) + 1))
+
+
+@pytest.mark.parametrize("split", [11, 300, 10**7])
+def test_ids_follow_files_when_lines_are_records(spark, tmp_path, split):
+    for name, first in (("2", 100), ("1", 0), ("3", 200)):
+        rows = "".join(f"U{i},name {i}\n" + "\n" * (i % 3 == 0) for i in range(first, first + 40 + first // 10))
+        write(tmp_path / f"{name}.csv", "user_id,name\n" + rows)
+    write(tmp_path / "4.csv", "user_id,name\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        got = read_extract(spark, "users", str(tmp_path)).orderBy("id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    numbers = [*range(40), *range(100, 150), *range(200, 260)]
+    assert [(r["id"], r["user_id"]) for r in got] == [(i, f"U{n}") for i, n in enumerate(numbers, 1)]
+
+
+def test_every_line_is_a_function_of_the_state_before(spark, tmp_path):
+    """A line that both opens and closes, one that fixes the state, one that flips it."""
+    cases = {'a,b': (False, True), '"a,b': (True, False), 'a"b': (False, False), '"a""b"': (False, False), 'x,"y': (True, True), '","': (False, True), '"""': (True, False)}
+    path = write(tmp_path / "x.csv", "\n".join(cases) + "\n")
+    got = {r["value"]: (r["from_out"], r["from_in"]) for r in lines(spark, path).collect()}
+
+    def run(text, state):  # a plain state machine
+        fresh = True  # at the start of a field, or right after a closing quote
+        for c in text:
+            if state:
+                if c == '"':
+                    state, fresh = False, True
+                continue
+            if c == '"' and fresh:
+                state = True
+            fresh = c == ","
+        return state
+
+    assert got == {t: (run(t, False), run(t, True)) for t in cases}
+
+
+def test_other_headers_and_open_quotes(spark, tmp_path):
+    write(tmp_path / "a.csv", 'user_id,name\nU1,"a\nb"\n')
+    write(tmp_path / "b.csv", 'user_id,name\nU2,"never\nclosed\n')
+    assert cells(read_extract(spark, "users", str(tmp_path)))[1][:2] == ("U2", "never\nclosed")
+    write(tmp_path / "c.csv", "name,user_id\nx,U3\n")
+    with pytest.raises(Exception, match="header differs"):
+        read_extract(spark, "users", str(tmp_path)).collect()
