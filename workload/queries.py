@@ -27,7 +27,7 @@ from dealmill.operators.rules import Rule, apply_rules, flag_illegal_transitions
 from dealmill.plans import catalog, load
 from dealmill.plans import reports as R
 from dealmill.session import checkpoint_dir, configure
-from dealmill.sources.extracts import DEFAULT_TEMPLATE, read_extracts
+from dealmill.sources.extracts import DEFAULT_TEMPLATE, read_extract, read_extracts
 from dealmill.sources.json_out import to_json_rows
 from dealmill.sources.store import TableStore
 from workload import oracle as O
@@ -242,14 +242,18 @@ def _cells_sql(table: str) -> str:
     return f"select '{table}' as \"table\", count(*) as rows, {filled} as filled_cells from raw_{table}"
 
 
+def _write_extract(df: DataFrame, path: str) -> None:
+    df.write.csv(
+        path, header=True, quote='"', escape='"', nullValue="", emptyValue="", ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
+
+
 def _write_extracts(raw: Views, template: str) -> str:
     """All raw tables as text extracts in a new shared folder."""
     folder = f"{checkpoint_dir(raw.spark)}/extracts-{uuid.uuid4().hex}"
     for table in schemas.RAW_TABLES:
-        raw[table].select(*schemas.RAW_COLUMNS[table]).write.csv(
-            f"{folder}/{template.format(table=table)}", header=True, quote='"', escape='"', nullValue="", emptyValue="",
-            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        )
+        _write_extract(raw[table].select(*schemas.RAW_COLUMNS[table]), f"{folder}/{template.format(table=table)}")
     return folder
 
 
@@ -287,6 +291,43 @@ def _(raw: Views) -> DataFrame:
     return K.union_all(counts)
 
 
+# Tables whose rows have an id of their own to put them in order, and a cell that gets line breaks and quotes.
+_ORDERED = ["companies", "deals", "stage_history", "activities", "marketing_costs"]
+_BROKEN = """case when id % 3 = 0 then coalesce(subject, '') || chr(10) || 'said "yes", twice' || chr(13) || chr(10)
+    when id % 7 = 0 then '"' || chr(10) || chr(10) || ',"' else subject end"""
+
+
+def _places_sql(table: str, source: str) -> str:
+    cells = ", ".join(f"coalesce({c}, '')" for c in schemas.RAW_COLUMNS[table])
+    return f"select '{table}' as \"table\", row_number() over (order by id) as id, md5(concat_ws('|', {cells})) as cells from {source}"
+
+
+def _places(spark: SparkSession, rows: dict[str, DataFrame]) -> DataFrame:
+    """(table, id, cells) of tables written as several extract files in the order of their ids, and read again."""
+    folder = f"{checkpoint_dir(spark)}/extracts-{uuid.uuid4().hex}"
+    parts = []
+    for table, df in rows.items():
+        in_order = df.repartitionByRange(7, "id").sortWithinPartitions("id").select(*schemas.RAW_COLUMNS[table])
+        _write_extract(in_order, f"{folder}/{table}")
+        cells = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in schemas.RAW_COLUMNS[table]))
+        read = read_extract(spark, table, f"{folder}/{table}")
+        parts.append(read.select(F.lit(table).alias("table"), "id", F.md5(cells).alias("cells")))
+    return K.union_all(parts)
+
+
+# Row numbers of extracts of several files follow the files, whatever the splits.
+@register("s4_raw_ids", O.raw(*_ORDERED) + " " + " union all ".join(_places_sql(t, f"raw_{t}") for t in _ORDERED))
+def _(raw: Views) -> DataFrame:
+    return _places(raw.spark, {t: raw[t] for t in _ORDERED})
+
+
+# Cells with line breaks, commas and quotes, read by many tasks.
+@register("s1_line_breaks", f"""{O.raw('activities')}, broken as (select * replace ({_BROKEN} as subject) from raw_activities)
+    {_places_sql('activities', 'broken')}""")
+def _(raw: Views) -> DataFrame:
+    return _places(raw.spark, {"activities": raw["activities"].withColumn("subject", F.expr(_BROKEN))})
+
+
 # ---------------------------------------------------------------- duplicates, references, rules
 
 _VERSIONED = f"""{O.raw('deals')},
