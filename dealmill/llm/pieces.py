@@ -36,7 +36,7 @@ from dealmill.llm.common import small_batches, whole_text
 
 # Fixed value: the sign that stands for a blank.
 BLANK_SIGN = "▁"
-REMEMBERED = 800_000
+REMEMBERED = 400_000
 _SHORT = 48
 _ATOM = 1 << 30  # a character that is no piece of the vocabulary: this and its code point
 
@@ -75,7 +75,7 @@ class Vocabulary:
         self.automaton.make_automaton()
         self.longest = max(map(len, self.id))
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}  # by both tokens in one number
 
     def atom(self, char: str) -> int:
         return self.id[char] if char in self.id else _ATOM + ord(char)
@@ -127,12 +127,13 @@ class Vocabulary:
                 last.append(_ATOM + ord(text[len(last) - 1]))
             if at + 1 < len(last):
                 continue  # that prefix has its token
-            pair = (last[at + 1 - length], token)
+            before = last[at + 1 - length]
+            pair = (before + 1) << 32 | token
             valid = pairs.get(pair)
             if valid is None:
                 if len(pairs) >= REMEMBERED:
                     pairs.clear()
-                valid = pairs[pair] = self.may_follow(*pair)
+                valid = pairs[pair] = self.may_follow(before, token)
             if valid:
                 last.append(token)
         while len(last) <= longest:
@@ -265,9 +266,18 @@ class Tokenizer:
 
 def encode_documents(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids, decoded) of every row: ids with the end id, and the text they decode to."""
-    tokenizer = Tokenizer(df.sparkSession, path)
-    ids = df.select(F.col(doc_id).alias("doc_id"), tokenizer.encode(whole_text(text)).alias("ids"))
-    return ids.withColumn("decoded", tokenizer.decode(F.col("ids")))
+    model = Tokenizer(df.sparkSession, path).model
+
+    # Both in one pass through Python: a worker holds the vocabulary once.
+    @F.pandas_udf("ids array<int>, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        codec = _codec(model.value)
+        for texts in batches:
+            ids = [codec.encode(x) for x in texts]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([codec.decode(x) for x in ids], dtype=object)})
+
+    done = df.select(F.col(doc_id).alias("doc_id"), both(whole_text(text)).alias("done"))
+    return done.select("doc_id", "done.ids", "done.decoded")
 
 
 def digest(encoded: DataFrame) -> DataFrame:
