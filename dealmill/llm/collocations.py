@@ -5,9 +5,10 @@ piece of text ends.  Only these windows are counted; ROLLUP over the window's co
 prefixes, so one count per window serves phrases of every length, and the words of the language.
 
 Windows are shortened before they are counted where a phrase across the next word cannot reach ``LEAST``
-occurrences: a sketch of at most ``2 ** SKETCH_BITS`` hashed counters of neighbouring words says which pairs
-are too rare for certain.  Pairs that share a counter only leave windows longer than need be.  The result does
-not depend on the sketch.
+occurrences: sketches of at most ``2 ** SKETCH_BITS`` hashed counters say which pairs, then which three words, are
+too rare for certain.  Words that share a counter only leave windows longer than need be: the result does not
+depend on the sketches.  Their size is bounded, as every task gets them, so beyond some tens of billions of words
+they fill up and save less and less; windows are then counted as they are.
 
 A null text is empty, a null language is ``und``.  Repeated rows count as often as they occur, whatever their
 ids.  Texts are counted whole, whatever their length.  Equal scores are ordered by occurrences and phrase.
@@ -27,6 +28,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SKETCH_BITS = 27
+SKETCHED = (2, 3)
 # Signs that end a piece of text; A to Z and tab, and what they become.
 ENDS = r"[.,;:!?\x0A-\x0D]"
 _FROM, _TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\t", "abcdefghijklmnopqrstuvwxyz "
@@ -47,45 +49,41 @@ def windows(df: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
     return words.select("lang", F.inline(F.arrays_zip(*ahead)))
 
 
-def _counter(first: str, second: str, bits: int) -> Column:
-    return F.shiftrightunsigned(F.xxhash64("lang", first, second), 64 - bits)
+def _counter(words: list[str], bits: int) -> Column:
+    return F.shiftrightunsigned(F.xxhash64("lang", *words), 64 - bits)
 
 
-def pair_sketch(opened: DataFrame, least: int, bits: int) -> DataFrame:
-    """One row, one array of longs: bit b is set if pairs whose hash is b occur ``least`` times or more."""
-    counters = opened.where("w2 is not null").groupBy(_counter("w1", "w2", bits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+def sketch(opened: DataFrame, size: int, least: int, bits: int) -> DataFrame:
+    """One row, one array of longs: bit b is set if phrases of ``size`` words whose hash is b occur ``least`` times or more."""
+    words = _WORDS[:size]
+    counters = opened.where(F.col(words[-1]).isNotNull()).groupBy(_counter(words, bits).alias("b")).agg(F.count(F.lit(1)).alias("n"))
     often = counters.where(F.col("n") >= least)
-    set_bits = often.groupBy(F.shiftright("b", 6).alias("at")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").bitwiseAND(F.lit(63)).cast("int"))).alias("word")
-    )
-    # One entry in ``at`` order for each of the 2 ** (bits - 6) longs, set or not.
-    places = df_range(opened, 1 << (bits - 6))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").bitwiseAND(F.lit(63)).cast("int"))
+    set_bits = often.groupBy(F.shiftright("b", 6).alias("at")).agg(F.bit_or(bit).alias("word"))
+    # One entry for each of the 2 ** (bits - 6) longs, set or not, in their order.
+    places = opened.sparkSession.range(1 << (bits - 6)).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("word"))
     return set_bits.unionByName(places).groupBy("at").agg(F.bit_or("word").alias("word")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("words")
     )
 
 
-def df_range(of: DataFrame, n: int) -> DataFrame:
-    return of.sparkSession.range(n).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("word"))
-
-
-def shortened(opened: DataFrame, sketch: DataFrame, bits: int) -> DataFrame:
-    """Windows cut before the first word whose pair with the word before is too rare for certain."""
-    often = stored(sketch).select("words").scalar()
-    pairs = list(zip(_WORDS, _WORDS[1:], strict=False))
+def shortened(opened: DataFrame, size: int, least: int, bits: int) -> DataFrame:
+    """Windows cut before the first word that ends ``size`` words too rare, together, for certain."""
+    often = stored(sketch(opened, size, least, bits)).select("words").scalar()
 
-    def is_often(first: str, second: str) -> Column:
-        b = _counter(first, second, bits)
+    def is_often(words: list[str]) -> Column:
+        b = _counter(words, bits)
         word = F.get(often, F.shiftright(b, 6).cast("int"))
         bit = F.call_function("shiftrightunsigned", word, b.bitwiseAND(F.lit(63)).cast("int"))
-        return F.col(second).isNotNull() & (bit.bitwiseAND(F.lit(1)) == 1)
+        return F.col(words[-1]).isNotNull() & (bit.bitwiseAND(F.lit(1)) == 1)
 
     # Flags of their own, so that each is computed once.
-    flagged = opened.withColumns({f"often_{second}": is_often(first, second) for first, second in pairs})
-    columns, kept = [F.col("w1")], F.lit(True)
-    for _, second in pairs:
-        kept = kept & F.col(f"often_{second}")
-        columns.append(F.when(kept, F.col(second)).alias(second))
+    last = {w: _WORDS[i - size + 1 : i + 1] for i, w in enumerate(_WORDS) if i >= size - 1}
+    flagged = opened.withColumns({f"often_{w}": is_often(words) for w, words in last.items()})
+    columns, kept = [], F.lit(True)
+    for w in _WORDS:
+        kept = kept & F.col(f"often_{w}") if w in last else kept
+        columns.append(F.when(kept, F.col(w)).alias(w))
     return flagged.select("lang", *columns)
 
 
@@ -95,8 +93,9 @@ def phrase_counts(df: DataFrame, least: int = LEAST, **columns: str) -> DataFram
     # A counter for about every third character, which is about two for every word.
     n = df.agg(F.sum(F.char_length(whole_text(columns.get("text", "text"))))).first()[0] or 0
     bits = min(SKETCH_BITS, max(16, (n // 3).bit_length()))
-    short = shortened(opened, pair_sketch(opened, least, bits), bits)
-    counted = short.groupBy("lang", *_WORDS).agg(F.count(F.lit(1)).alias("n"))
+    for size in SKETCHED:
+        opened = shortened(opened, size, least, bits)
+    counted = opened.groupBy("lang", *_WORDS).agg(F.count(F.lit(1)).alias("n"))
     rolled = counted.rollup("lang", *_WORDS).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     # The grouping id of a prefix of k words has the LONGEST - k lowest bits set.
     size = F.lit(None).cast("int")
