@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dealmill.schemas import ACTIONS, CONSTRAINTS, CORE_TABLES, RAW_TABLES, Constraints
+from dealmill.schemas import ACTIONS, CONSTRAINTS, CORE_SCHEMAS, CORE_TABLES, RAW_TABLES, Constraints
 
 # How the issue log names the rows of each table.
 ENTITY_OF_TABLE = {
@@ -27,6 +27,9 @@ ENTITY_OF_TABLE = {
     "marketing_costs": "marketing_cost",
 }
 
+# The column by which the issue log names a row, where it is not the first of the typed table.
+RECONCILED_KEYS = {"deal_products": "deal_id"}
+
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -46,45 +49,94 @@ def _row_checks(df: DataFrame, table: str, spec: Constraints) -> DataFrame:
     return counted.select(F.inline(rows)).select(F.lit(table).alias("table"), "constraint", "kind", "violations")
 
 
-def _repeated_keys(df: DataFrame, table: str, column: str, kind: str) -> DataFrame:
-    """Number of key values held by more than one row."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).count().where(F.col("count") > 1)
-    return repeated.agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit(table).alias("table"), F.lit(f"{column}_{kind}").alias("constraint"), F.lit(kind).alias("kind"),
-        "violations",
+def _key_checks(tables: Mapping[str, DataFrame], specs: dict[str, Constraints]) -> DataFrame | None:
+    """Primary keys, unique columns and references of all tables in one shuffle.
+
+    Every row gives one entry per key and reference: the key column it belongs to (its *domain*), a slot that tells
+    the key (0) from the references to it (1, 2, ...), and the value.  Entries are counted per domain and value, map-side
+    first, so a hot value costs one row per task.  A value with two or more in slot 0 is a repeated key; one
+    with none in slot 0 is a parent that is missing, and its references are broken.
+    """
+    keys = [
+        (table, column, kind)
+        for table, spec in specs.items() if table in tables
+        for column, kind in [(spec.primary_key, "primary_key"), *((c, "unique") for c in spec.unique)]
+    ]
+    slots: dict[tuple[str, str], list[tuple[str, str, str]]] = {
+        (table, column): [(table, f"{column}_{kind}", kind)] for table, column, kind in keys
+    }
+    entries: dict[str, list] = {table: [(column, (table, column), 0) for t, column, _ in keys if t == table] for table in tables}
+    unkeyed = []
+    for table, spec in specs.items():
+        if table not in tables:
+            continue
+        for column, parent, key in spec.references:
+            if parent not in tables:
+                continue
+            if (parent, key) not in slots:  # a reference to a column that is not itself checked
+                slots[(parent, key)] = [None]
+                unkeyed.append((parent, key))
+            slot = slots[(parent, key)]
+            entries[table].append((column, (parent, key), len(slot)))
+            slot.append((table, f"{column}_to_{parent}", "foreign_key"))
+    for parent, key in unkeyed:
+        entries[parent].append((key, (parent, key), 0))
+
+    domains = list(slots)
+    stacked = []
+    for table, found in entries.items():
+        if not found:
+            continue
+        rows = F.array(
+            *(
+                F.struct(
+                    F.lit(domains.index(domain)).alias("domain"), F.lit(slot).alias("slot"), F.col(column).cast("string").alias("value")
+                )
+                for column, domain, slot in found
+            )
+        )
+        stacked.append(tables[table].select(F.inline(rows)).where(F.col("value").isNotNull()))
+    if not stacked:
+        return None
+    width = max(map(len, slots.values()))
+    counted = union_all(stacked).groupBy("domain", "value").agg(
+        *(F.count_if(F.col("slot") == i).alias(f"s{i}") for i in range(width))
     )
-
-
-def _broken_references(df: DataFrame, table: str, column: str, parent: str, parents: DataFrame, key: str) -> DataFrame:
-    """Number of rows whose reference has no parent; rows are counted per value before the join."""
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).count()
-    missing = values.join(parents.select(F.col(key).alias("value")), "value", "left_anti")
-    return missing.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("violations")).select(
-        F.lit(table).alias("table"), F.lit(f"{column}_to_{parent}").alias("constraint"),
-        F.lit("foreign_key").alias("kind"), "violations",
+    per_domain = counted.groupBy("domain").agg(
+        F.count_if(F.col("s0") > 1).alias("v0"), *(F.sum(F.when(F.col("s0") == 0, F.col(f"s{i}"))).alias(f"v{i}") for i in range(1, width))
+    )
+    # A domain without any value has no row here, and no violations.
+    names = [
+        F.struct(
+            F.lit(number).alias("d"), F.lit(i).alias("slot"), F.lit(table).alias("table"), F.lit(constraint).alias("constraint"),
+            F.lit(kind).alias("kind"),
+        )
+        for number, domain in enumerate(domains)
+        for i, named in enumerate(slots[domain]) if named
+        for table, constraint, kind in [named]
+    ]
+    everything = per_domain.agg(
+        F.collect_list(F.struct("domain", F.array(*(F.col(f"v{i}") for i in range(width))).alias("v"))).alias("found")
     )
+    named = everything.select("found", F.inline(F.array(*names)))
+    of_domain = F.get(F.filter("found", lambda x: x["domain"] == F.col("d")), F.lit(0))
+    violations = F.coalesce(F.get(of_domain["v"], F.col("slot")), F.lit(0)).cast("long")
+    return named.select("table", "constraint", "kind", violations.alias("violations"))
 
 
 def check_constraints(
     tables: Mapping[str, DataFrame], specs: dict[str, Constraints] | None = None
 ) -> DataFrame:
-    """(table, constraint, kind, violations) for every declared constraint of the given tables."""
+    """(table, constraint, kind, violations) for every declared constraint of the given tables.
+
+    Each table is scanned twice: once for NOT NULL and value domains, once for all its keys and references.
+    """
     specs = CONSTRAINTS if specs is None else specs
-    found = []
-    for table, spec in specs.items():
-        if table not in tables:
-            continue
-        df = tables[table]
-        if spec.not_null or spec.domains:
-            found.append(_row_checks(df, table, spec))
-        found.append(_repeated_keys(df, table, spec.primary_key, "primary_key"))
-        found += [_repeated_keys(df, table, column, "unique") for column in spec.unique]
-        found += [
-            _broken_references(df, table, column, parent, tables[parent], key)
-            for column, parent, key in spec.references
-            if parent in tables
-        ]
-    return union_all(found)
+    given = {t: tables[t] for t in specs if t in tables}
+    parents = {p: tables[p] for spec in specs.values() for _, p, _ in spec.references if p in tables}
+    found = [_row_checks(df, t, specs[t]) for t, df in given.items() if specs[t].not_null or specs[t].domains]
+    keys = _key_checks(parents | given, specs)
+    return union_all(found + [keys] if keys is not None else found)
 
 
 def count_rows(tables: Mapping[str, DataFrame], label: str = "table") -> DataFrame:
@@ -94,32 +146,50 @@ def count_rows(tables: Mapping[str, DataFrame], label: str = "table") -> DataFra
     )
 
 
+def _key_sum(column: str) -> Column:
+    """Sum of key hashes: equal for equal multisets of keys, and mergeable."""
+    return F.coalesce(F.sum(F.xxhash64(F.coalesce(F.col(column).cast("string"), F.lit(""))).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+
+
 def reconcile_counts(
     raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame], issues: DataFrame
 ) -> DataFrame:
     """Per table: raw rows, typed rows, quarantined rows, and whether they add up."""
+    return reconcile_rows(raw, core, issues).drop("same_keys")
+
+
+def reconcile_rows(
+    raw: Mapping[str, DataFrame], core: Mapping[str, DataFrame], issues: DataFrame
+) -> DataFrame:
+    """Per table: raw rows, typed rows, quarantined rows, and whether they are the same rows.
+
+    ``balanced`` compares numbers of rows.  ``same_keys`` compares which rows: the multiset of keys of the raw table with
+    that of the typed table and the quarantined rows together, so one row lost for another is seen.
+    Each table is read once, for both.
+    """
     names = [t for t in RAW_TABLES if t in raw and t in core]
-    counts = union_all(
-        [
-            raw[t].agg(F.count(F.lit(1)).alias("raw_rows")).select(
-                F.lit(t).alias("table"), F.lit(ENTITY_OF_TABLE[t]).alias("entity"), "raw_rows",
-                F.lit(0).cast("long").alias("core_rows"),
-            )
-            for t in names
-        ]
-        + [
-            core[t].agg(F.count(F.lit(1)).alias("core_rows")).select(
-                F.lit(t).alias("table"), F.lit(ENTITY_OF_TABLE[t]).alias("entity"),
-                F.lit(0).cast("long").alias("raw_rows"), "core_rows",
-            )
-            for t in names
-        ]
-    ).groupBy("table", "entity").agg(F.sum("raw_rows").alias("raw_rows"), F.sum("core_rows").alias("core_rows"))
-    dropped = issues.where(F.col("action") == "quarantined").groupBy("entity").count()
+    zero = F.lit(0).cast("decimal(38,0)")
+
+    def counted(df: DataFrame, table: str, side: str, other: str) -> DataFrame:
+        # Rows are quarantined under the name by which the issue log calls them.
+        key = RECONCILED_KEYS.get(table, CORE_SCHEMAS[table][0].name)
+        return df.agg(F.count(F.lit(1)).alias(f"{side}_rows"), _key_sum(key).alias(f"{side}_keys")).select(
+            F.lit(table).alias("table"), F.lit(ENTITY_OF_TABLE[table]).alias("entity"), f"{side}_rows", f"{side}_keys",
+            F.lit(0).cast("long").alias(f"{other}_rows"), zero.alias(f"{other}_keys"),
+        )
+
+    sides = [counted(raw[t], t, "raw", "core") for t in names] + [counted(core[t], t, "core", "raw") for t in names]
+    counts = union_all(sides).groupBy("table", "entity").agg(
+        *(F.sum(c).alias(c) for c in ("raw_rows", "core_rows", "raw_keys", "core_keys"))
+    )
+    dropped = issues.where(F.col("action") == "quarantined").groupBy("entity").agg(
+        F.count(F.lit(1)).alias("count"), _key_sum("entity_id").alias("dropped_keys")
+    )
     out = counts.join(dropped, "entity", "left").withColumn("quarantined", F.coalesce("count", F.lit(0)))
     return out.select(
         "table", "raw_rows", "core_rows", "quarantined",
         (F.col("raw_rows") == F.col("core_rows") + F.col("quarantined")).alias("balanced"),
+        (F.col("raw_keys") == F.col("core_keys") + F.coalesce("dropped_keys", zero)).alias("same_keys"),
     )
 
 

@@ -6,6 +6,7 @@ evaluated in the projection that also types its columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from dealmill.functions.normalize import quoted
 from dealmill.schemas import ISSUE_SCHEMA, TRANSITIONS
+from dealmill.sources.records import numbered, placed
 
 # Re-spelling a channel is cosmetic: logged, but the row itself is not marked.
 COSMETIC = {"normalized_source"}
@@ -98,11 +100,20 @@ def flag_illegal_transitions(
     return apply_rules(history, "stage_history", entity_id, [rule])
 
 
-def issue_log(frames: list[DataFrame]) -> DataFrame:
-    """All issues in one table with an id and the time of detection (both differ between runs)."""
-    union = reduce(DataFrame.unionByName, frames)
-    return union.select(
-        F.monotonically_increasing_id().alias("id"),
-        "entity", "entity_id", "issue_type", "action", "details",
-        F.current_timestamp().alias("detected_at"),
-    )
+_LOG_ORDER = ["entity", "entity_id", "issue_type", "action", "details"]
+
+
+def issue_log(frames: list[DataFrame], keep: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """All issues in one table with an id and the time of detection.
+
+    With ``keep``, which stores a table and reads it back, ids count from 1 in the order of entity, entity_id, type,
+    reaction and details, so that every load of the same input gives the same ids: the log is range-sorted, stored
+    and numbered by counts per stored split.  Equal issues may stand in any order and in any task.  Without it ids
+    are only unique.
+    """
+    union = reduce(DataFrame.unionByName, frames).select(*_LOG_ORDER)
+    if keep is None:
+        return union.select(F.monotonically_increasing_id().alias("id"), *_LOG_ORDER, F.current_timestamp().alias("detected_at"))
+    spread = union.withColumn("__spread", F.monotonically_increasing_id())
+    scan = keep(spread.repartitionByRange(*_LOG_ORDER, "__spread").sortWithinPartitions(*_LOG_ORDER).drop("__spread"))
+    return numbered(placed(scan), placed(scan)).select("id", *_LOG_ORDER, F.current_timestamp().alias("detected_at"))

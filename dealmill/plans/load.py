@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dealmill.functions import normalize as N
-from dealmill.operators.constraints import check_constraints, run_summary
+from dealmill.operators.constraints import check_constraints
 from dealmill.operators.dedup import latest_rows
 from dealmill.operators.lookup import LAZY, Spread
 from dealmill.operators.rules import issue_log
@@ -18,7 +18,7 @@ from dealmill.plans import entities as E
 from dealmill.schemas import CORE_TABLES, seed_sources
 from dealmill.session import checkpoint_dir, configure
 from dealmill.sources.extracts import read_extracts
-from dealmill.sources.store import TableStore
+from dealmill.sources.store import TableStore, Version
 
 
 class Parents:
@@ -116,7 +116,7 @@ class TypedTables(Mapping[str, DataFrame]):
 
     @cached_property
     def issues(self) -> DataFrame:
-        return issue_log([self.result(table).issues for table in LOAD_ORDER])
+        return issue_log([self.result(table).issues for table in LOAD_ORDER], self.spread.keep)
 
     def __getitem__(self, table: str) -> DataFrame:
         if table not in CORE_TABLES:
@@ -160,28 +160,33 @@ def run_load(
 ) -> Load:
     """Full refresh of ``warehouse`` from the extracts.
 
-    Raw rows are written first, which fixes their ids.  Each entity is then computed once into
-    a work area and read back as typed table and issues.  The new tables are published
-    together, after the constraints were checked; a failed run leaves the earlier ones.
+    Raw rows are written first.  Each entity is then computed once into a work area and read back as typed
+    table and issues.  The new tables are published together, after the constraints were checked; a failed run
+    deletes what it wrote and leaves the earlier ones.  The summary comes from figures observed while writing.
     """
     configure(spark)
     store = TableStore(spark, warehouse)
     version = store.begin_version()
+    try:
+        _write_version(spark, version, extracts, read_options)
+        core = version.tables()
+        if strict:
+            broken = check_constraints(core).where(F.col("violations") > 0).collect()
+            if broken:
+                raise ConstraintViolation("; ".join(f"{r.table}.{r.constraint}: {r.violations}" for r in broken))
+    except BaseException:
+        version.discard()
+        raise
+    version.publish()
+    return Load(version.raw_tables(), core, store.summary(version.name))
+
+
+def _write_version(spark: SparkSession, version: Version, extracts: str, read_options: dict) -> None:
     for table, extract in read_extracts(spark, extracts, **read_options).items():
         version.write_raw(table, extract)
-    raw = version.raw_tables()
-
-    work = store.begin_work(checkpoint_dir(spark))
+    work = version.store.begin_work(checkpoint_dir(spark))
     try:
-        for table, typed in TypedTables(raw, Spread(keep=work.keep)).items():
+        for table, typed in TypedTables(version.raw_tables(), Spread(keep=work.keep)).items():
             version.write(table, typed)
     finally:
         work.drop()
-
-    core = version.tables()
-    if strict:
-        broken = check_constraints(core).where(F.col("violations") > 0).collect()
-        if broken:
-            raise ConstraintViolation("; ".join(f"{r.table}.{r.constraint}: {r.violations}" for r in broken))
-    version.publish()
-    return Load(raw, core, run_summary(core))

@@ -51,61 +51,154 @@ def raw_schema(table: str) -> T.StructType:
 
 MONEY = T.DecimalType(14, 2)
 
-_TYPES = {
-    "string": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "bool": T.BooleanType(),
-    "date": T.DateType(),
-    "ts": T.TimestampType(),
-    "money": MONEY,
+STRING, BOOL, DATE, TIME = T.StringType(), T.BooleanType(), T.DateType(), T.TimestampType()
+INT, LONG = T.IntegerType(), T.LongType()
+
+# Columns and types of the 15 typed tables.
+CORE_SCHEMAS: dict[str, T.StructType] = {
+    "sources": T.StructType([
+        T.StructField("id", INT, nullable=False),
+        T.StructField("code", STRING, nullable=False),
+        T.StructField("name", STRING),
+    ]),
+    "users": T.StructType([
+        T.StructField("user_id", STRING, nullable=False),
+        T.StructField("name", STRING),
+        T.StructField("role", STRING),
+        T.StructField("active", BOOL),
+        T.StructField("department", STRING),
+        T.StructField("email", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "companies": T.StructType([
+        T.StructField("company_id", STRING, nullable=False),
+        T.StructField("name", STRING),
+        T.StructField("inn", STRING),
+        T.StructField("city", STRING),
+        T.StructField("industry", STRING),
+        T.StructField("created_at", TIME),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "contacts": T.StructType([
+        T.StructField("contact_id", STRING, nullable=False),
+        T.StructField("company_id", STRING),
+        T.StructField("name", STRING),
+        T.StructField("phone", STRING),
+        T.StructField("email", STRING),
+        T.StructField("created_at", TIME),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "products": T.StructType([
+        T.StructField("product_id", STRING, nullable=False),
+        T.StructField("sku", STRING),
+        T.StructField("name", STRING),
+        T.StructField("category", STRING),
+        T.StructField("cost_price", MONEY),
+        T.StructField("is_active", BOOL),
+        T.StructField("canonical_id", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "pipeline_stages": T.StructType([
+        T.StructField("stage_id", STRING, nullable=False),
+        T.StructField("pipeline_id", STRING),
+        T.StructField("stage_name", STRING),
+        T.StructField("sort_order", INT),
+        T.StructField("is_final", BOOL),
+        T.StructField("is_success", BOOL),
+    ]),
+    "deals": T.StructType([
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("title", STRING),
+        T.StructField("created_at", TIME),
+        T.StructField("updated_at", TIME),
+        T.StructField("closed_at", TIME),
+        T.StructField("custom_deadline", DATE),
+        T.StructField("stage_id", STRING),
+        T.StructField("manager_id", STRING),
+        T.StructField("company_id", STRING),
+        T.StructField("contact_id", STRING),
+        T.StructField("source_id", INT),
+        T.StructField("expected_amount", MONEY),
+        T.StructField("currency", STRING, nullable=False),
+        T.StructField("lost_reason", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "deal_products": T.StructType([
+        T.StructField("id", LONG, nullable=False),
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("product_id", STRING, nullable=False),
+        T.StructField("quantity", MONEY),
+        T.StructField("unit_price", MONEY),
+        T.StructField("discount", MONEY, nullable=False),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "payments": T.StructType([
+        T.StructField("payment_id", STRING, nullable=False),
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("payment_date", DATE),
+        T.StructField("amount", MONEY),
+        T.StructField("payment_type", STRING),
+        T.StructField("status", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "stage_history": T.StructType([
+        T.StructField("event_id", STRING, nullable=False),
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("old_stage_id", STRING),
+        T.StructField("new_stage_id", STRING),
+        T.StructField("changed_at", TIME),
+        T.StructField("changed_by_id", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "activities": T.StructType([
+        T.StructField("activity_id", STRING, nullable=False),
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("activity_type", STRING),
+        T.StructField("direction", STRING),
+        T.StructField("subject", STRING),
+        T.StructField("responsible_user_id", STRING),
+        T.StructField("completed", BOOL),
+        T.StructField("deadline_at", TIME),
+        T.StructField("completed_at", TIME),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "production_orders": T.StructType([
+        T.StructField("production_order_id", STRING, nullable=False),
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("created_at", TIME),
+        T.StructField("planned_finish_at", DATE),
+        T.StructField("actual_finish_at", DATE),
+        T.StructField("status", STRING),
+        T.StructField("workshop", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "shipments": T.StructType([
+        T.StructField("shipment_id", STRING, nullable=False),
+        T.StructField("deal_id", STRING, nullable=False),
+        T.StructField("planned_date", DATE),
+        T.StructField("actual_date", DATE),
+        T.StructField("status", STRING),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "marketing_costs": T.StructType([
+        T.StructField("id", LONG, nullable=False),
+        T.StructField("cost_date", DATE),
+        T.StructField("source_id", INT),
+        T.StructField("campaign", STRING),
+        T.StructField("cost_amount", MONEY),
+        T.StructField("currency", STRING, nullable=False),
+        T.StructField("has_quality_issue", BOOL, nullable=False),
+    ]),
+    "data_quality_issues": T.StructType([
+        T.StructField("id", LONG, nullable=False),
+        T.StructField("entity", STRING, nullable=False),
+        T.StructField("entity_id", STRING),
+        T.StructField("issue_type", STRING, nullable=False),
+        T.StructField("action", STRING, nullable=False),
+        T.StructField("details", STRING),
+        T.StructField("detected_at", TIME, nullable=False),
+    ]),
 }
-
-# Columns and types of the 15 typed tables ("!" marks NOT NULL).
-_CORE_COLUMNS: dict[str, str] = {
-    "sources": "id:int! code:string! name:string",
-    "users": "user_id:string! name:string role:string active:bool department:string email:string "
-             "has_quality_issue:bool!",
-    "companies": "company_id:string! name:string inn:string city:string industry:string created_at:ts "
-                 "has_quality_issue:bool!",
-    "contacts": "contact_id:string! company_id:string name:string phone:string email:string created_at:ts "
-                "has_quality_issue:bool!",
-    "products": "product_id:string! sku:string name:string category:string cost_price:money is_active:bool "
-                "canonical_id:string has_quality_issue:bool!",
-    "pipeline_stages": "stage_id:string! pipeline_id:string stage_name:string sort_order:int is_final:bool "
-                       "is_success:bool",
-    "deals": "deal_id:string! title:string created_at:ts updated_at:ts closed_at:ts custom_deadline:date "
-             "stage_id:string manager_id:string company_id:string contact_id:string source_id:int "
-             "expected_amount:money currency:string! lost_reason:string has_quality_issue:bool!",
-    "deal_products": "id:long! deal_id:string! product_id:string! quantity:money unit_price:money "
-                     "discount:money! has_quality_issue:bool!",
-    "payments": "payment_id:string! deal_id:string! payment_date:date amount:money payment_type:string "
-                "status:string has_quality_issue:bool!",
-    "stage_history": "event_id:string! deal_id:string! old_stage_id:string new_stage_id:string changed_at:ts "
-                     "changed_by_id:string has_quality_issue:bool!",
-    "activities": "activity_id:string! deal_id:string! activity_type:string direction:string subject:string "
-                  "responsible_user_id:string completed:bool deadline_at:ts completed_at:ts "
-                  "has_quality_issue:bool!",
-    "production_orders": "production_order_id:string! deal_id:string! created_at:ts planned_finish_at:date "
-                         "actual_finish_at:date status:string workshop:string has_quality_issue:bool!",
-    "shipments": "shipment_id:string! deal_id:string! planned_date:date actual_date:date status:string "
-                 "has_quality_issue:bool!",
-    "marketing_costs": "id:long! cost_date:date source_id:int campaign:string cost_amount:money "
-                       "currency:string! has_quality_issue:bool!",
-    "data_quality_issues": "id:long! entity:string! entity_id:string issue_type:string! action:string! "
-                           "details:string detected_at:ts!",
-}
-
-
-def _parse(spec: str) -> T.StructType:
-    fields = []
-    for item in spec.split():
-        name, kind = item.split(":")
-        fields.append(T.StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
-
-
-CORE_SCHEMAS: dict[str, T.StructType] = {name: _parse(spec) for name, spec in _CORE_COLUMNS.items()}
 CORE_TABLES = list(CORE_SCHEMAS)
 
 PRIMARY_KEYS: dict[str, str] = {name: schema[0].name for name, schema in CORE_SCHEMAS.items()}
@@ -160,6 +253,17 @@ PRODUCTION_STATUSES = ["planned", "in_progress", "done"]
 SHIPMENT_STATUSES = ["planned", "shipped"]
 ACTIONS = ["fixed", "quarantined", "flagged"]
 
+# What the issue log may name.
+ISSUE_TYPES = [
+    "discount_exceeds_line", "duplicate_deal", "duplicate_event", "duplicate_sku", "illegal_transition",
+    "inactive_manager", "incomplete_company",
+    "invalid_activity_type", "invalid_payment_status", "invalid_payment_type", "invalid_production_status",
+    "invalid_shipment_status", "missing_company", "missing_currency", "missing_email", "missing_manager",
+    "negative_amount", "nonstandard_date", "normalized_phone", "normalized_source", "orphan_company", "orphan_contact",
+    "orphan_deal", "orphan_manager", "orphan_product", "orphan_stage", "orphan_user", "temporal_inconsistency",
+    "unknown_payment_type", "unknown_source", "unnormalized_phone", "won_without_close_date",
+]
+
 # Stages in selling order, then the two closing stages.
 OPEN_STAGES = ["NEW", "QUALIFICATION", "CALCULATION", "PROPOSAL", "CONTRACT", "PRODUCTION", "SHIPPED"]
 CLOSING_STAGES = ["WON", "LOST"]

@@ -1,17 +1,19 @@
 """The hand-made extract end to end: counts, issues, reports."""
 
 import os
-from datetime import date
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from dealmill.operators.constraints import check_constraints, reconcile_counts, run_summary
+from dealmill.operators.constraints import check_constraints, reconcile_counts, reconcile_rows, run_summary
 from dealmill.plans import catalog
 from dealmill.plans import reports as R
 from dealmill.plans.load import ConstraintViolation, run_load, run_transform
+from dealmill.schemas import CORE_SCHEMAS
 from dealmill.session import checkpoint_dir
+from dealmill.sources import store as store_module
 from dealmill.sources.extracts import read_extracts
 from dealmill.sources.store import TableStore
 from tests.crm import ROWS, write_extracts
@@ -248,3 +250,96 @@ def test_lazy_transform_agrees_with_the_stored_load(loaded, tmp_path):
 def test_missing_extract_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_extracts(spark, str(tmp_path))
+
+
+def make_version(store, n_users):
+    version = store.begin_version()
+    users = store.spark.range(n_users).selectExpr("cast(id as string) as user_id")
+    for f in CORE_SCHEMAS["users"].names[1:]:
+        users = users.withColumn(f, F.lit(False if f == "has_quality_issue" else None))
+    version.write("users", users)
+    return version
+
+
+def test_racing_loads_get_different_numbers(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    assert make_version(store, 1).publish() == 1
+    second, third = make_version(store, 2), make_version(store, 3)
+    stale = store._numbers()  # both loads look at the numbers before either has published
+    monkeypatch.setattr(store, "_numbers", lambda: stale)
+    assert (second.publish(), third.publish()) == (2, 3)
+    monkeypatch.undo()
+    assert store.current_version() == third.name and store.core("users").count() == 3
+    assert store.drop_superseded() == 2 and store.core("users").count() == 3
+
+
+def test_a_clock_that_is_late_publishes_all_the_same(spark, tmp_path, monkeypatch):
+    store = TableStore(spark, str(tmp_path))
+    first = make_version(store, 1)
+    first.publish()
+
+    class Late:
+        @staticmethod
+        def now(zone):
+            return datetime.now(zone) - timedelta(hours=1)
+
+    monkeypatch.setattr(store_module, "datetime", Late)
+    second = make_version(store, 2)
+    assert second.name < first.name
+    second.publish()
+    assert store.current_version() == second.name and store.core("users").count() == 2
+    left_behind = make_version(store, 9)
+    assert store.drop_superseded() == 1 and store.core("users", left_behind.name).count() == 9
+    assert store.drop_unpublished() == 1 and store.core("users").count() == 2
+
+
+def test_a_manifest_cut_short_is_passed_over(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    with pytest.raises(FileNotFoundError):
+        store.current_version()
+    first = make_version(store, 1)
+    first.publish()
+    assert store._create(2, '{"version": "x') and not store._create(2, "{}")
+    assert store.current_version() == first.name
+    assert make_version(store, 2).publish() == 3 and store.manifest()["number"] == 3
+    assert store.manifest(first.name)["figures"]["core"]["users"]["rows"] == 1
+
+
+def test_manifest_knows_what_was_written(loaded, tmp_path):
+    spark, _, load = loaded
+    extracts = tmp_path / "extracts"
+    extracts.mkdir()
+    run_load(spark, write_extracts(extracts), str(tmp_path / "w"))
+    store = TableStore(spark, str(tmp_path / "w"))
+    issues = store.core("data_quality_issues")
+    assert sorted(map(tuple, store.summary().collect())) == sorted(map(tuple, run_summary(store.tables()).collect()))
+    assert sorted(map(tuple, store.quality_by_type().collect())) == sorted(map(tuple, R.quality_by_type(store.tables()).collect()))
+    assert [tuple(r) for r in store.table_counts().collect()] == [tuple(r) for r in catalog.table_counts(store.tables()).collect()]
+    for df in (store.summary(), store.quality_by_type(), store.table_counts()):
+        assert df.inputFiles() == []
+    assert all(r["intact"] for r in store.verify().collect())
+    # One cell of one row of the stored table changes.
+    version = store.current_version()
+    payments = store.core("payments")
+    damaged = payments.withColumn("status", F.when(F.col("payment_id") == "PAY001", "pending").otherwise(F.col("status"))).collect()
+    spark.createDataFrame(damaged, payments.schema).write.mode("overwrite").parquet(store.path("core", version, "payments"))
+    found = {(r["layer"], r["table"]): (r["rows"] == r["written"], r["intact"]) for r in store.verify().collect()}
+    assert found.pop(("core", "payments")) == (True, False) and set(found.values()) == {(True, True)}
+    # The same extracts loaded again give the same ids of issues.
+    again = run_load(spark, str(extracts), str(tmp_path / "again")).core["data_quality_issues"]
+    columns = ["id", "entity", "entity_id", "issue_type", "action", "details"]
+    assert sorted(map(str, issues.select(columns).collect())) == sorted(map(str, again.select(columns).collect()))
+    assert sorted(r["id"] for r in again.collect()) == list(range(1, again.count() + 1))
+
+
+def test_a_row_exchanged_for_another_is_seen(loaded):
+    _, _, load = loaded
+    issues = load.core["data_quality_issues"]
+    checked = reconcile_rows(load.raw, load.core, issues).collect()
+    assert len(checked) == 13 and all(r["balanced"] and r["same_keys"] for r in checked)
+    exchanged = dict(load.core)
+    exchanged["payments"] = load.core["payments"].withColumn(
+        "payment_id", F.when(F.col("payment_id") == "PAY001", "PAY999").otherwise(F.col("payment_id"))
+    )
+    found = {r["table"]: (r["balanced"], r["same_keys"]) for r in reconcile_rows(load.raw, exchanged, issues).collect()}
+    assert found.pop("payments") == (True, False) and set(found.values()) == {(True, True)}

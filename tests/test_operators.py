@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dealmill.functions import normalize as N
 from dealmill.operators.constraints import check_constraints
@@ -21,7 +22,7 @@ from dealmill.operators.references import (
 )
 from dealmill.operators.rules import Rule, apply_rules, flag_illegal_transitions
 from dealmill.sources.store import WorkArea
-from dealmill.schemas import CLOSING_STAGES, CONSTRAINTS, OPEN_STAGES
+from dealmill.schemas import CLOSING_STAGES, CONSTRAINTS, CORE_SCHEMAS, OPEN_STAGES, Constraints
 
 
 @pytest.fixture
@@ -222,3 +223,30 @@ def test_constraints_report_every_kind(spark):
         ("users", "user_id_not_null"): 1, ("users", "has_quality_issue_not_null"): 1, ("users", "user_id_primary_key"): 1,
         ("payments", "payment_type_domain"): 1, ("payments", "deal_id_to_deals"): 1,
     }
+
+
+def test_constraints_of_all_tables_need_one_shuffle_of_keys(spark):
+    tables = {
+        name: spark.createDataFrame([tuple({"string": "x", "boolean": True}.get(f.dataType.typeName()) for f in schema)], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+        for name, schema in CORE_SCHEMAS.items()
+    }
+    report = check_constraints(tables)
+    found = {(r["table"], r["constraint"]): r["violations"] for r in report.collect()}
+    assert len(found) == sum(
+        len(s.not_null) + len(s.domains) + 1 + len(s.unique) + len(s.references) for s in CONSTRAINTS.values()
+    )
+    assert found["data_quality_issues", "action_domain"] == 1 and found["deals", "stage_id_to_pipeline_stages"] == 0
+    assert found["sources", "code_unique"] == 0 and found["payments", "status_domain"] == 1
+    assert "Join" not in report._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_and_missing_keys_are_counted_exactly(spark):
+    deals = spark.range(50).selectExpr("'D' || id as deal_id").unionByName(spark.createDataFrame([("D1",), ("D1",), (None,)], "deal_id string"))
+    payments = spark.range(3000).selectExpr("'P' || id as payment_id", "case when id % 3 = 0 then 'D7' when id % 3 = 1 then 'X' end as deal_id")
+    specs = {"deals": Constraints("deal_id"), "payments": Constraints("payment_id", references=(("deal_id", "deals", "deal_id"),))}
+    got = {r["constraint"]: r["violations"] for r in check_constraints({"deals": deals, "payments": payments}, specs).collect()}
+    assert got == {"deal_id_primary_key": 1, "payment_id_primary_key": 0, "deal_id_to_deals": 1000}
+    # Without the parent table the reference cannot be judged; empty tables break nothing.
+    got = [r["constraint"] for r in check_constraints({"payments": payments}, specs).collect()]
+    assert got == ["payment_id_primary_key"]
+    assert {r["violations"] for r in check_constraints({"deals": deals.where("false"), "payments": payments.where("false")}, specs).collect()} == {0}

@@ -577,6 +577,24 @@ def _(raw: Views) -> DataFrame:
     return K.reconcile_counts({t: raw[t] for t in schemas.RAW_TABLES}, core, core["data_quality_issues"])
 
 
+# The tables whose keys are compared as multisets: keys of raw rows against those of typed and quarantined ones.
+def _same_keys_sql(table: str) -> str:
+    key = K.RECONCILED_KEYS.get(table, schemas.CORE_SCHEMAS[table][0].name)
+    left = f"select coalesce(cast({key} as varchar), '') as k from raw_{table}"
+    right = (f"select coalesce(cast({key} as varchar), '') from t_{table} union all select coalesce(entity_id, '') "
+             f"from log where entity = '{O.MARKED[table][1]}' and action = 'quarantined'")
+    return f"not exists (({left}) except all ({right})) and not exists (({right}) except all ({left}))"
+
+
+@register("reconcile_rows", f"""{_ALL_TYPED}
+    select c.*, raw_rows = core_rows + quarantined as balanced, k.same_keys
+    from (values {_RECONCILED}) c("table", raw_rows, core_rows, quarantined)
+    join (values {", ".join(f"('{t}', ({_same_keys_sql(t)}))" for t in O.ALL)}) k("table", same_keys) using ("table")""")
+def _(raw: Views) -> DataFrame:
+    core = _loaded(raw)
+    return K.reconcile_rows({t: raw[t] for t in schemas.RAW_TABLES}, core, core["data_quality_issues"])
+
+
 @register("run_summary", f"""{_ALL_TYPED}
     {' union all '.join(f"select 'table' as kind, '{t}' as name, count(*) as rows from t_{t}" for t in O.ALL)}
     {''.join(f" union all select 'issues', '{a}', count(*) from log where action = '{a}'"
@@ -617,7 +635,28 @@ def _published(raw: Views) -> TableStore:
 
 @register("stored_load_summary", SQL["run_summary"])
 def _(raw: Views) -> DataFrame:
-    return K.run_summary(_published(raw).tables())
+    return _published(raw).summary()
+
+
+# Counts that the published version holds beside its tables, none of which is read for them.
+@register("stored_quality_by_type", SQL["quality_by_type"])
+def _(raw: Views) -> DataFrame:
+    return _published(raw).quality_by_type()
+
+
+@register("stored_catalog_counts", SQL["catalog_counts"])
+def _(raw: Views) -> DataFrame:
+    return _published(raw).table_counts()
+
+
+# Every stored table against what was written: rows and content.
+@register("stored_load_intact", f"""{_ALL_TYPED}
+    {' union all '.join(f"select 'raw' as layer, '{t}' as \"table\", count(*) as rows, count(*) as written, true as intact from raw_{t}"
+                        for t in O.ALL)}
+    {''.join(f" union all select 'core', '{t}', count(*), count(*), true from t_{t}" for t in ['sources', *O.ALL])}
+    union all select 'core', 'data_quality_issues', count(*), count(*), true from log""")
+def _(raw: Views) -> DataFrame:
+    return _published(raw).verify()
 
 
 @register("stored_load_issue_log", SQL["issue_log"])
@@ -625,6 +664,13 @@ def _(raw: Views) -> DataFrame:
     return bare(_published(raw).core("data_quality_issues"))
 
 
+# Issue ids of a load follow the order of the log, so that loads of the same input agree.
+@register("stored_load_issue_ids", _log("""select row_number() over (order by entity nulls first, entity_id nulls first, issue_type, action) as id,
+    entity, entity_id, issue_type, action from log"""))
+def _(raw: Views) -> DataFrame:
+    return _published(raw).core("data_quality_issues").select("id", *ISSUE_COLUMNS)
+
+
 @register("stored_load_raw", _ROWS)
 def _(raw: Views) -> DataFrame:
     store = _published(raw)
