@@ -7,7 +7,7 @@ from dealmill.llm.common import BLANK, WORD
 from dealmill.llm.mixing import MAX_REPEATS, SCHEDULES, WEIGHTS
 from dealmill.llm.quality_rules import COUNTS, MARKS, RATES, SPREADS, UPPER
 from dealmill.llm.repeats import LENGTH
-from dealmill.llm.secrets import BASE_KINDS, KINDS, MAX_OWNERS
+from dealmill.llm.secrets import BASE_KINDS, KINDS, MAX_OWNERS, MAX_REPOSITORIES
 
 
 def _text(value: str) -> str:
@@ -40,7 +40,10 @@ def _secrets() -> str:
             select 1 from long_enough b where b.row = s.row and b.{base}
                 and b.stop - length(b.hit) < s.stop and b.stop > s.stop - length(s.hit))),
     owners as (select value, count(*) as n from (select distinct value, source from spans) o group by value),
-    judged as (select s.*, o.n <= {MAX_OWNERS} as live from spans s join owners o using (value)),
+    repositories as (select value, count(*) as n from (select distinct value, doc_id from spans join docs using (row)) r group by value),
+    judged as (
+        select s.*, o.n <= {MAX_OWNERS} and r.n <= {MAX_REPOSITORIES} as live
+        from spans s join owners o using (value) join repositories r using (value)),
     found as (
         select row, {counts}, {joined} filter (where {base}) as base, {joined} as spans,
             count(*) filter (where live) as n_live, count(*) filter (where not live) as n_example

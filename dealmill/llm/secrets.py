@@ -132,7 +132,7 @@ def redact(df: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int =
     find their spans by a hash of all columns, so null and repeated ids make no difference.
     """
     keyed = df.withColumn("__key", row_key(df))
-    cuts = scan(keyed, max_owners, doc_id="__key")
+    cuts = scan(keyed, max_owners, max_repositories, doc_id="__key")
     cuts = cuts.select(F.col("doc_id").alias("__key"), F.filter("found", lambda s: s["live"]).alias("__cuts"))
     cuts = cuts.where(F.size("__cuts") > 0).dropDuplicates(["__key"])
     rows = keyed.join(cuts, "__key", "left")
