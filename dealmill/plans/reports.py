@@ -250,6 +250,19 @@ def stale_deals(core: Tables, n_days: int = DEFAULT_STALE_DAYS) -> DataFrame:
 # ---------------------------------------------------------------- 6 channels
 
 
+def _ratio(part: Column, whole: Column) -> Column:
+    """``part / whole`` of two amounts, ``whole`` above 0, rounded once to four places, halves away from zero.
+
+    Whole cents are divided as whole numbers; a quotient of doubles, or of decimals of some scale, would be
+    rounded before it is rounded.
+    """
+    cents = lambda amount: (amount * 100).cast("decimal(38,0)")
+    places = F.call_function(
+        "div", (F.abs(cents(part)) * 20000).cast("decimal(38,0)") + cents(whole), (cents(whole) * 2).cast("decimal(38,0)")
+    )
+    return F.signum(cents(part)) * places.cast("double") / F.lit(10000.0)
+
+
 def sources_report(core: Tables) -> DataFrame:
     """Deals, won sales, margin, spending and return on spending per channel."""
     won = _won()
@@ -273,10 +286,9 @@ def sources_report(core: Tables) -> DataFrame:
         F.coalesce("cost_rows", F.lit(0)).cast("long").alias("cost_rows"),
     )
     has_costs = (F.col("cost_rows") > 0) & (F.col("costs") > 0)
-    gain = (F.col("revenue") - F.col("costs")).cast("double") / F.col("costs").cast("double")
     return (
         rows.withColumn("has_costs", has_costs)
-        .withColumn("romi", F.when(has_costs, F.round(gain, 4)))
+        .withColumn("romi", F.when(has_costs, _ratio(F.col("revenue") - F.col("costs"), F.col("costs"))))
         .orderBy(F.col("revenue").desc(), "code")
     )
 

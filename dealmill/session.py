@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where a later step then needs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM does not compile methods above 8000 bytes: such a stage runs faster step by step than as one method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

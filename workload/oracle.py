@@ -19,20 +19,22 @@ def blank(cell: str) -> str:
 
 
 def _spellings(cell: str) -> list[tuple[str, int]]:
-    """(wall-clock reading, hours east of UTC) per accepted spelling; the first three are standard."""
+    """(wall-clock reading, minutes east of UTC) per accepted spelling; the first five are standard."""
     s = nn(cell)
     return [
         (f"try_strptime({s}, '%Y-%m-%dT%H:%M:%SZ')", 0),
-        (f"try_strptime({s}, '%Y-%m-%dT%H:%M:%S+05:00')", 5),
-        (f"try_strptime({s}, '%Y-%m-%d')", 5),
-        (f"try_strptime({s}, '%Y/%m/%d')", 5),
-        (f"try_strptime({s}, '%d.%m.%Y %H:%M')", 5),
-        (f"try_strptime({s}, '%d.%m.%Y')", 5),
+        (f"try_strptime({s}, '%Y-%m-%dT%H:%M:%S+05:00')", 300),
+        (f"try_strptime({s}, '%Y-%m-%dT%H:%M:%S-03:30')", -210),
+        (f"try_strptime({s}, '%Y-%m-%dT%H:%M:%S+0900')", 540),
+        (f"try_strptime({s}, '%Y-%m-%d')", 300),
+        (f"try_strptime({s}, '%Y/%m/%d')", 300),
+        (f"try_strptime({s}, '%d.%m.%Y %H:%M')", 300),
+        (f"try_strptime({s}, '%d.%m.%Y')", 300),
     ]
 
 
 def ts(cell: str) -> str:
-    return "coalesce(" + ", ".join(f"{wall} - interval {h} hour" for wall, h in _spellings(cell)) + ")"
+    return "coalesce(" + ", ".join(f"{wall} - interval ({m}) minute" for wall, m in _spellings(cell)) + ")"
 
 
 def dt(cell: str) -> str:
@@ -40,7 +42,7 @@ def dt(cell: str) -> str:
 
 
 def odd_date(cell: str) -> str:
-    standard = "coalesce(" + ", ".join(wall for wall, _ in _spellings(cell)[:3]) + ")"
+    standard = "coalesce(" + ", ".join(wall for wall, _ in _spellings(cell)[:5]) + ")"
     return f"({nn(cell)} is not null and {standard} is null)"
 
 
@@ -446,8 +448,10 @@ def channels(p: str) -> str:
     select id, code, name, deals, won_deals, revenue, margin, costs, cost_rows,
         cost_rows > 0 and costs > 0 as has_costs,
         case when cost_rows > 0 and costs > 0
-             then round(cast(revenue - costs as double) / cast(costs as double), 4) end as romi
-    from (select s.id, s.code, s.name,
+             then cast(case when 2 * abs(cents % cost_cents) >= cost_cents then cents // cost_cents + sign(cents)
+                       else cents // cost_cents end as double) / 10000 end as romi
+    from (select *, cast((revenue - costs) * 100 as hugeint) * 10000 as cents, cast(costs * 100 as hugeint) as cost_cents from (
+          select s.id, s.code, s.name,
               (select count(*) from priced x where x.source_id = s.id) as deals,
               (select count(*) from priced x where x.source_id = s.id and x.stage_id = 'WON') as won_deals,
               cast(coalesce((select sum(amount) from priced x where x.source_id = s.id and x.stage_id = 'WON'), 0)
@@ -457,7 +461,7 @@ def channels(p: str) -> str:
               cast(coalesce((select sum(cost_amount) from {p}marketing_costs k where k.source_id = s.id), 0)
                    as {M}) as costs,
               (select count(*) from {p}marketing_costs k where k.source_id = s.id) as cost_rows
-          from {p}sources s) z"""
+          from {p}sources s) z) y"""
 
 
 AMOUNT_TABLES = ["deals", "deal_products", "products"]

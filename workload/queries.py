@@ -826,6 +826,35 @@ def _(core: Views) -> DataFrame:
     return to_json_rows(core["payments"])
 
 
+def _json_sql(table: str) -> str:
+    """The JSON text of a typed row, cell by cell."""
+    def cell(f: T.StructField) -> str:
+        c = f.name
+        if isinstance(f.dataType, T.StringType):
+            text = f"""'"' || replace(replace({c}, '\\', '\\\\'), '"', '\\"') || '"'"""
+        elif isinstance(f.dataType, T.TimestampType):
+            whole = f"strftime({c}, '%Y-%m-%dT%H:%M:%S') || case when date_trunc('second', {c}) = {c} then '' else strftime({c}, '.%f') end"
+            text = f"""'"' || {whole} || '+00:00"'"""
+        elif isinstance(f.dataType, (T.DecimalType, T.DateType)):
+            kind = f.dataType.simpleString()
+            text = f"""'"' || cast(cast({c} as {kind}) as varchar) || '"'"""
+        else:
+            text = f"cast({c} as varchar)"
+        return f"""'"{c}":' || coalesce({text}, 'null')"""
+
+    cells = " || ',' || ".join(cell(f) for f in schemas.CORE_SCHEMAS[table])
+    return f"select '{table}' as \"table\", '{{' || {cells} || '}}' as json from c_{table}"
+
+
+_JSON_TABLES = ["deals", "activities", "marketing_costs"]
+
+
+# NULLs, instants, whole numbers, flags, and texts with quotes in them.
+@register("json_all_kinds", f"{O.core(*_JSON_TABLES)} " + " union all ".join(map(_json_sql, _JSON_TABLES)), CORE)
+def _(core: Views) -> DataFrame:
+    return K.union_all([to_json_rows(core[t]).select(F.lit(t).alias("table"), "json") for t in _JSON_TABLES])
+
+
 def _constraint_sql() -> str:
     parts = []
     for table, spec in schemas.CONSTRAINTS.items():
