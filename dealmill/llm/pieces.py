@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -73,9 +74,10 @@ class Vocabulary:
         for t, i in self.id.items():
             self.automaton.add_word(t, (i, len(t)))
         self.automaton.make_automaton()
-        self.longest = max(map(len, self.id))
+        self._lengths = [len(self.text.get(i, "")) for i in numbers]
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._pairs: dict[int, bool] = {}  # by both tokens in one number
+        self._follows: dict[int, dict[int, bool]] = {}
+        self._n_follows = 0
 
     def atom(self, char: str) -> int:
         return self.id[char] if char in self.id else _ATOM + ord(char)
@@ -119,30 +121,43 @@ class Vocabulary:
             else:
                 return True
 
+    def _learn(self, before: int, token: int) -> bool:
+        if self._n_follows >= REMEMBERED:
+            self._follows.clear()
+            self._n_follows = 0
+        self._n_follows += 1
+        valid = self._follows.setdefault(before, {})[token] = self.may_follow(before, token)
+        return valid
+
     def encode(self, text: str) -> list[int]:
         """Tokens of a normalised text."""
-        last, pairs, longest = [-1], self._pairs, len(text)
+        whole = self.id.get(text)
+        if whole is not None and self.may_follow(-1, whole):
+            return [whole]
+        last, done, follows, size = [-1], 0, self._follows, len(text)
+        append = last.append
         for at, (token, length) in self.automaton.iter(text):
-            while len(last) <= at:  # characters before this one that end no piece
-                last.append(_ATOM + ord(text[len(last) - 1]))
-            if at + 1 < len(last):
+            if at < done:
                 continue  # that prefix has its token
+            while done < at:  # characters before this one that end no piece
+                append(_ATOM + ord(text[done]))
+                done += 1
             before = last[at + 1 - length]
-            pair = (before + 1) << 32 | token
-            valid = pairs.get(pair)
+            # What is known of the neighbours on the right of ``before``.
+            valid = follows[before].get(token) if before in follows else None
             if valid is None:
-                if len(pairs) >= REMEMBERED:
-                    pairs.clear()
-                valid = pairs[pair] = self.may_follow(before, token)
+                valid = self._learn(before, token)
             if valid:
-                last.append(token)
-        while len(last) <= longest:
-            last.append(_ATOM + ord(text[len(last) - 1]))
-        out, end = [], longest
+                append(token)
+                done += 1
+        last += [_ATOM + ord(c) for c in text[done:]]
+        out, end, lengths = [], size, self._lengths
         while end:
-            out.append(last[end])
-            end -= len(self.surface(last[end]))
-        return out[::-1]
+            token = last[end]
+            out.append(token)
+            end -= lengths[token] if token < _ATOM else 1
+        out.reverse()
+        return out
 
     def cutter(self):
         """Finds the parts of a normalised text that no piece reaches across."""
@@ -172,8 +187,13 @@ class Codec:
         p = self.vocabulary.model
         self.end = p.eos_id()
         self._known: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
         numbers = range(p.get_piece_size())
-        self._spelt = [self._surface(p, i) for i in numbers]
+        spelt = [self._surface(p, i) for i in numbers]
+        # Texts of all pieces one after another, and where each begins.
+        self._flat = np.frombuffer(b"".join(spelt), np.uint8)
+        self._length = np.array([len(x) for x in spelt])
+        self._begin = np.cumsum(self._length) - self._length
         self._control = np.array([p.is_control(i) for i in numbers])
         self._blank_first = {i for i, t in self.vocabulary.text.items() if t[0] == BLANK_SIGN}
 
@@ -192,7 +212,7 @@ class Codec:
                 out.append(token)
             else:
                 out.extend(self.vocabulary.bytes[b] for b in chr(token - _ATOM).encode())
-        return np.array(out, np.int32).tobytes()
+        return struct.pack(f"<{len(out)}i", *out)
 
     def encode(self, text: str, end: bool = True) -> np.ndarray:
         known = self._known
@@ -200,29 +220,38 @@ class Codec:
         found = list(map(known.get, parts))
         if None in found:
             if len(known) >= REMEMBERED:
-                known.clear()
+                # The parts met last stay at hand; those among them that come again are remembered again.
+                self._older, self._known = known, {}
+                known = self._known
+            older = self._older
             for i, ids in enumerate(found):
                 if ids is None:
                     part = parts[i]
-                    ids = found[i] = known.get(part) or self._part(part)
+                    ids = found[i] = known.get(part) or older.get(part) or self._part(part)
                     if len(part) <= _SHORT:
                         known[part] = ids
         if end:
-            found.append(np.int32(self.end).tobytes())
-        return np.frombuffer(b"".join(found), np.int32)
+            found.append(struct.pack("<i", self.end))
+        return np.frombuffer(b"".join(found), "<i4")
+
+    def _spell(self, ids: np.ndarray) -> str:
+        length = self._length[ids]
+        shift = self._begin[ids] - (np.cumsum(length) - length)
+        return self._flat[np.arange(length.sum()) + np.repeat(shift, length)].tobytes().decode("utf-8", "each_byte")
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; the blank in front goes, and bytes that are no character become replacement signs.
 
         Control ids have no text, but bytes before and after one make no character together.
         """
-        control = self._control[ids]
-        first = ids[np.argmin(control)] if not control.all() else None
-        out, begin = [], 0
-        for end in [*np.flatnonzero(control).tolist(), len(ids)]:
-            out.append(b"".join(map(self._spelt.__getitem__, ids[begin:end].tolist())).decode("utf-8", "each_byte"))
-            begin = end
-        text = "".join(out)
+        if not len(ids):
+            return ""
+        control = np.flatnonzero(self._control[ids])
+        if not len(control) or control[0] == len(ids) - 1:
+            text, first = self._spell(ids), ids[0]
+        else:
+            text = "".join(map(self._spell, np.split(ids, control)))
+            first = next((i for i in ids if not self._control[i]), None)
         return text[1:] if first in self._blank_first else text
 
 
