@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dealmill.operators.constraints import count_by_action
 from dealmill.operators.lookup import LAZY, Spread, lookup
-from dealmill.schemas import ACTIONS, CLOSING_STAGES, COMMITTED_STAGES
+from dealmill.schemas import ACTIONS, CLOSING_STAGES, COMMITTED_STAGES, FACT_DATES
 
 Tables = Mapping[str, DataFrame]
 
@@ -77,17 +77,9 @@ def cutoff_date(core: Tables) -> DataFrame:
 
     Each table is reduced to one date by its own scalar subquery.
     """
-    latest = core["deals"].agg(F.to_date(F.max("updated_at")).alias("updated"))
-    return latest.select(
-        F.greatest(
-            "updated",
-            _latest(core["payments"], "payment_date"),
-            _latest(core["shipments"], "actual_date"),
-            _latest(core["activities"], "completed_at"),
-            _latest(core["stage_history"], "changed_at"),
-            _latest(core["production_orders"], "actual_finish_at"),
-        ).alias("cutoff_date")
-    )
+    (table, column), *others = FACT_DATES
+    latest = core[table].agg(F.to_date(F.max(column)).alias("first"))
+    return latest.select(F.greatest("first", *(_latest(core[t], c) for t, c in others)).alias("cutoff_date"))
 
 
 def totals(report: DataFrame, columns: list[str]) -> DataFrame:

@@ -232,6 +232,12 @@ ISSUE_SCHEMA = T.StructType(
     ]
 )
 
+# Columns that say when something happened; plans do not count.
+FACT_DATES = [
+    ("deals", "updated_at"), ("payments", "payment_date"), ("shipments", "actual_date"), ("activities", "completed_at"),
+    ("stage_history", "changed_at"), ("production_orders", "actual_finish_at"),
+]
+
 # ---------------------------------------------------------------- value domains
 
 # Canonical channels (ids 1..6 in this order), their names and other spellings.

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dealmill.schemas import ACTIONS, CORE_SCHEMAS, CORE_TABLES, ISSUE_TYPES, LABELS, RAW_TABLES, raw_schema
+from dealmill.schemas import (
+    ACTIONS, CORE_SCHEMAS, CORE_TABLES, FACT_DATES, ISSUE_TYPES, LABELS, PRIMARY_KEYS, RAW_TABLES, raw_schema,
+)
 
 _DIGITS = 12
 
@@ -68,18 +70,24 @@ class Version:
 
     def _write(self, layer: str, table: str, df: DataFrame, *more: Column) -> dict:
         seen = Observation()
+        dates = [c for t, c in FACT_DATES if t == table and layer == "core"]
+        more = (*more, *(F.to_date(F.max(c)).cast("string").alias(f"latest_{c}") for c in dates))
         # The observation is the last step before the writer, so a task run twice is counted once.
         observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), content_hash(df).alias("hash"), *more)
         observed.write.mode("overwrite").parquet(self.store.path(layer, self.name, table))
         figures = seen.get
         self.figures[layer][table] = {"rows": figures["rows"], "hash": str(figures["hash"])}
+        if dates:
+            self.figures[layer][table]["latest"] = {c: figures[f"latest_{c}"] for c in dates}
         return figures
 
     def write_raw(self, table: str, df: DataFrame) -> None:
         self._write("raw", table, df)
 
     def write(self, table: str, df: DataFrame) -> None:
+        """Write a typed table range-sorted by its key: the files in their order hold the keys in theirs."""
         typed = df.select(*(F.col(f.name).cast(f.dataType) for f in CORE_SCHEMAS[table]))
+        typed = typed.repartitionByRange(PRIMARY_KEYS[table]).sortWithinPartitions(PRIMARY_KEYS[table])
         if table != "data_quality_issues":
             self._write("core", table, typed)
             return
@@ -227,6 +235,26 @@ class TableStore:
         core = self.manifest()["figures"]["core"]
         return self._rows([(t, LABELS[t], core[t]["rows"]) for t in CORE_TABLES], "name string, label string, count long")
 
+    def cutoff_date(self) -> DataFrame:
+        """(cutoff_date): the latest day on which anything happened, in session time when the load was written."""
+        core = self.manifest()["figures"]["core"]
+        days = [core[t]["latest"][c] for t, c in FACT_DATES]
+        latest = max((d for d in days if d), default=None)
+        return self._rows([(latest,)], "day string").select(F.col("day").cast("date").alias("cutoff_date"))
+
+    def first_rows(self, table: str, limit: int) -> DataFrame:
+        """Rows among which are the ``limit`` rows of smallest key: only the first files of the typed table are opened."""
+        folder = self.path("core", self.current_version(), table)
+        fs, path = _fs(self.spark, folder)
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        files = sorted((n for n in names if n.startswith("part-")), key=lambda n: int(n.split("-")[1]))
+        reader, taken = self.spark.read.schema(CORE_SCHEMAS[table]), 1
+        while True:
+            df = reader.parquet(*(_join(folder, n) for n in files[:taken]))
+            if taken >= len(files) or df.count() >= limit:  # a count reads the footers
+                return df
+            taken *= 4
+
     def verify(self) -> DataFrame:
         """(layer, table, rows, written, intact): what every table of the published version holds against what was written.
 

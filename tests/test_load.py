@@ -343,3 +343,34 @@ def test_a_row_exchanged_for_another_is_seen(loaded):
     )
     found = {r["table"]: (r["balanced"], r["same_keys"]) for r in reconcile_rows(load.raw, exchanged, issues).collect()}
     assert found.pop("payments") == (True, False) and set(found.values()) == {(True, True)}
+
+
+def test_preview_opens_only_the_first_files(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    version = store.begin_version()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        users = spark.range(4000).selectExpr("lpad(cast((id * 7919) % 4000 as string), 5, '0') as user_id")
+        for f in CORE_SCHEMAS["users"].names[1:]:
+            users = users.withColumn(f, F.lit(False if f == "has_quality_issue" else None))
+        version.write("users", users)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    version.publish()
+    files = len(store.core("users").inputFiles())
+    assert files >= 4
+    for limit, most in ((1, 1), (100, 1), (1500, 4), (4000, files)):
+        got = catalog.preview_published(store, "users", limit)
+        assert [r["user_id"] for r in got.collect()] == [f"{i:05d}" for i in range(limit)]
+        assert len(store.first_rows("users", limit).inputFiles()) <= most
+    with pytest.raises(KeyError):
+        catalog.preview_published(store, "nothing")
+    with pytest.raises(ValueError, match="limit"):
+        catalog.preview_published(store, "users", 0)
+
+
+def test_cutoff_of_a_published_load_reads_no_table(loaded):
+    spark, warehouse, load = loaded
+    store = TableStore(spark, warehouse)
+    assert store.cutoff_date().inputFiles() == []
+    assert store.cutoff_date().collect() == R.cutoff_date(load.core).collect()

@@ -649,6 +649,17 @@ def _(raw: Views) -> DataFrame:
     return _published(raw).table_counts()
 
 
+# The first rows by key of a published table, from its first files; the cutoff from what was observed while writing.
+@register("stored_table_preview", f"{O.with_typed('stage_history')} select * from t_stage_history order by event_id limit 500")
+def _(raw: Views) -> DataFrame:
+    return catalog.preview_published(_published(raw), "stage_history")
+
+
+@register("stored_cutoff", O.over_load(O.TODAY_TABLES, [O.today("t_")], "select day as cutoff_date from today"))
+def _(raw: Views) -> DataFrame:
+    return _published(raw).cutoff_date()
+
+
 # Every stored table against what was written: rows and content.
 @register("stored_load_intact", f"""{_ALL_TYPED}
     {' union all '.join(f"select 'raw' as layer, '{t}' as \"table\", count(*) as rows, count(*) as written, true as intact from raw_{t}"
