@@ -7,7 +7,7 @@ prefixes, so one count per window serves phrases of every length, and the words
 Windows are shortened before they are counted where a phrase across the next word cannot reach ``LEAST``
 occurrences: sketches of at most ``2 ** SKETCH_BITS`` hashed counters say which pairs, then which three words, are
 too rare for certain.  Words that share a counter only leave windows longer than need be: the result does not
-depend on the sketches.  Their size is bounded, as every task gets them, so beyond some tens of billions of words
+depend on the sketches.  Their size is bounded, as every task gets them, so beyond some billions of words
 they fill up and save less and less; windows are then counted as they are.
 
 A null text is empty, a null language is ``und``.  Repeated rows count as often as they occur, whatever their
@@ -27,7 +27,7 @@ from dealmill.llm.common import stored, whole_text
 LONGEST = 5
 LEAST = 100
 TOP = 2000
-SKETCH_BITS = 27
+SKETCH_BITS = 26
 SKETCHED = (2, 3)
 # Signs that end a piece of text; A to Z and tab, and what they become.
 ENDS = r"[.,;:!?\x0A-\x0D]"
