@@ -1,7 +1,9 @@
 """Training-data operators against plain Python versions on small tables with awkward rows."""
 
+import math
 import random
 import zlib
+from collections import defaultdict
 
 import brute
 import duckdb
@@ -9,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dealmill.llm import bpe, fingerprints, mixing, near_dup, quality_model, quality_rules, queries, repeats, secrets, toxicity, url_filter
@@ -354,14 +357,48 @@ def test_url_filter(spark):
     assert {r["verdict"] for r in url_filter.judge(df.where("page_id in (3, 4)")).collect()} == {"allow"}
 
 
-def test_markov_counts_are_probabilities():
-    urls = [b"http://a.org/b", b"http://a.org/c"]
-    counts = np.zeros((2, url_filter.ORDERS, 2, url_filter.SLOTS), np.float32)
-    for u in urls:
-        for kind, slots in enumerate(url_filter._slots(u)):
+def test_log_ratios_are_those_of_a_dictionary_model(spark):
+    """Exact counts of more than 65 536 strings, held against models in plain dictionaries."""
+    rnd = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789/-é"
+    seen = [("http://x.org/" + "".join(rnd.choices(letters[: 12 if i % 2 else 39], k=rnd.randint(0, 90))), i % 2 == 0) for i in range(1500)]
+    examples = [(u, a, 1 + i % 3) for i, (u, a) in enumerate(seen)]
+    models = [defaultdict(int), defaultdict(int)]
+    for url, accepted, n in examples:
+        data = b"\0" * 4 + url.encode()
+        for i in range(4, len(data)):
             for order in range(url_filter.ORDERS):
-                np.add.at(counts[1, order, kind], slots[order], 1)
-    assert url_filter.log_ratio("http://a.org/b", counts) > 0 == url_filter.log_ratio("", counts)
+                models[accepted]["J", data[i - order : i + 1]] += n
+                models[accepted]["C", order, data[i - order : i]] += n
+    assert sum(len(m) for m in models) > 65_536
+
+    def ratio(url):
+        data, total = b"\0" * 4 + url.encode(), 0.0
+        for i in range(4, len(data)):
+            logs = []
+            for model in models:
+                p = 1 / 256
+                for order in range(url_filter.ORDERS):
+                    p = (model["J", data[i - order : i + 1]] + 2.0 * p) / (model["C", order, data[i - order : i]] + 2.0)
+                assert 0 < p < 1
+                logs.append(math.log(p))
+            total += logs[1] - logs[0]
+        return total / max(1, len(data) - 4)
+
+    asked = ["", "q", "http://x.org/", "http://y.com/never/seen", seen[0][0], seen[1][0], "é" * 9, "a" * 30000]
+    counts = url_filter.count_strings(spark.createDataFrame(examples, "url string, accepted boolean, n long").repartition(4))
+    got = {r["url"]: r["log_ratio"] for r in url_filter.log_ratios(spark.createDataFrame([(u,) for u in asked], "url string"), counts).collect()}
+    assert got == pytest.approx({u: ratio(u) for u in asked}, abs=1e-7)
+
+
+def test_url_filter_of_repeated_and_long_rows(spark):
+    rows = [(None if i % 4 == 0 else i % 50, f"https://a.{['org', 'com'][i % 2]}/{['x', 'de'][i % 2]}/{i % 70}", "h") for i in range(700)]
+    rows += [(1, "ftp://open.net/" + "x" * 200_000, "h"), (1, None, None), (1, None, "h"), *[(7, "https://b.net/x/1", "h")] * 300]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("gram", F.lit("g")).withColumn("key", F.lit(1))
+    got = url_filter.judge(df).collect()
+    assert len(got) == len(rows) and sorted(map(str, got)) == sorted(map(str, url_filter.judge(df.repartition(7)).collect()))
+    assert {r["log_ratio"] for r in got if r["host"] == ""} == {0.0}
+    assert len({(r["verdict"], r["log_ratio"]) for r in got if r["host"] == "b.net"}) == 1
 
 
 def test_toxicity(spark, empty):
