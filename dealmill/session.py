@@ -26,10 +26,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder named by the cluster; where none is set (tests), a folder of the warehouse, which is shared too."""
+    """Shared folder named by the cluster; where none is set (tests), a folder of the warehouse.
+
+    On a cluster a warehouse on the driver's own disk is no shared folder; that is an error.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        on_local_disk = "://" not in warehouse.removeprefix("file://")
+        if on_local_disk and not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = f"{warehouse}/_work"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -7,6 +7,7 @@ from decimal import Decimal
 
 import pytest
 
+from dealmill.session import checkpoint_dir
 from dealmill.sources.extracts import read_extract
 from dealmill.sources.records import lines
 from dealmill.sources.json_out import to_json_rows, write_json_rows
@@ -178,3 +179,29 @@ def test_other_headers_and_open_quotes(spark, tmp_path):
     write(tmp_path / "c.csv", "name,user_id\nx,U3\n")
     with pytest.raises(Exception, match="header differs"):
         read_extract(spark, "users", str(tmp_path)).collect()
+
+
+class _Session:
+    """What ``checkpoint_dir`` asks a session for."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": lambda _, key, default=None: conf.get(key, default), "set": lambda _, key, value: conf.update({key: value})})()
+
+
+@pytest.mark.parametrize(
+    ("master", "conf", "want"),
+    [
+        ("yarn", {"spark.checkpoint.dir": "hdfs:///c"}, "hdfs:///c"),
+        ("yarn", {"spark.sql.warehouse.dir": "hdfs://n/w/"}, "hdfs://n/w/_work"),
+        ("yarn", {"spark.sql.warehouse.dir": "file:/home/w"}, None),
+        ("spark://m:7077", {"spark.sql.warehouse.dir": "/home/w"}, None),
+        ("local[8]", {"spark.sql.warehouse.dir": "file:/home/w"}, "file:/home/w/_work"),
+    ],
+)
+def test_work_folder_is_shared(master, conf, want):
+    if want is None:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            checkpoint_dir(_Session(master, **conf))
+    else:
+        assert checkpoint_dir(_Session(master, **conf)) == want
