@@ -5,7 +5,7 @@ from __future__ import annotations
 from dealmill.llm.collocations import ENDS, LEAST, LONGEST, TOP
 from dealmill.llm.common import BLANK, WORD
 from dealmill.llm.mixing import MAX_REPEATS, SCHEDULES, WEIGHTS
-from dealmill.llm.quality_rules import COUNTS, MARKS, RATES, SPREADS, UPPER
+from dealmill.llm.quality_rules import BACK_OFF, COUNTS, MARKS, RATES, SPREADS, UPPER
 from dealmill.llm.repeats import LENGTH
 from dealmill.llm.secrets import BASE_KINDS, KINDS, MAX_OWNERS, MAX_REPOSITORIES
 
@@ -101,12 +101,15 @@ def _quality() -> str:
     }
     measured = ", ".join(f"case when {b} > 0 then {a} / cast({b} as double) end as {name}" for name, (a, b) in rates.items())
     quartiles = ", ".join(f"quantile_disc({r}, [0.25, 0.5, 0.75]) as {r}" for r in RATES)
+    mix = lambda own, above: f"({own[0]}.n * coalesce({own}, {above}) + {BACK_OFF} * coalesce({above}, {own})) / ({own[0]}.n + {BACK_OFF})"
+    lines = ", ".join(f"{mix(f'l.{r}[{i}]', f'c.{r}[{i}]')} as {r}{i}" for r in RATES for i in (1, 2, 3))
+    mixed = ", ".join(f"{mix(f'g.{r}[{i}]', f'k.{r}{i}')} as {r}{i}" for r in RATES for i in (1, 2, 3))
     tests = []
     for r, (step, both) in RATES.items():
-        reach = f"greatest({SPREADS} * (q.{r}[3] - q.{r}[1]), {step})"
-        tests.append(f"coalesce(m.{r} <= q.{r}[2] + {reach}, true)")
+        reach = f"greatest({2 * SPREADS} * least(q.{r}2 - q.{r}1, q.{r}3 - q.{r}2), {step})"
+        tests.append(f"coalesce(m.{r} <= q.{r}2 + {reach}, true)")
         if both:
-            tests.append(f"coalesce(m.{r} >= q.{r}[2] - {reach}, true)")
+            tests.append(f"coalesce(m.{r} >= q.{r}2 - {reach}, true)")
     failed = "(n_words < 50 or 100 * n_repeat_words > 50 * n_words)"
     return f"""
     with docs as (
@@ -129,7 +132,15 @@ def _quality() -> str:
     repeated as (select row, count(*) filter (where inside) as n_repeat_words from covered group by row),
     full_counts as (select c.*, coalesce(r.n_repeat_words, 0) as n_repeat_words from counted c left join repeated r using (row)),
     measured as (select *, {measured} from full_counts),
-    quartiles as (select lang, source, {quartiles} from measured group by lang, source)
+    sketched as (
+        select lang, source, grouping(lang) as all_langs, grouping(source) as all_sources, cast(count(*) as double) as n, {quartiles}
+        from measured group by rollup(lang, source)),
+    languages as (
+        select l.lang, {lines}
+        from (select * from sketched where all_langs = 0 and all_sources = 1) l, (select * from sketched where all_langs = 1) c),
+    quartiles as (
+        select g.lang, g.source, {mixed}
+        from (select * from sketched where all_sources = 0) g join languages k on k.lang is not distinct from g.lang)
     select doc_id, {', '.join(COUNTS)}, {failed} as base_failed, not {failed} and {' and '.join(tests)} as kept
     from measured m join quartiles q on q.lang is not distinct from m.lang and q.source is not distinct from m.source"""
 

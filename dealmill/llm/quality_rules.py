@@ -1,7 +1,8 @@
 """Quality rules whose thresholds follow each language and source.
 
 Every document gets counts and rates.  Mergeable quantile sketches per (lang, source) give the quartiles of
-each rate, and a rate may lie ``SPREADS`` interquartile ranges (and at least a small step) beyond its median.
+each rate, backed by those of the language and the corpus where rows are few; a rate may lie ``SPREADS``
+interquartile ranges (and at least a small step) beyond its median.
 Documents outside of any bound, or failing the two fixed base rules, are not kept.
 
 A null text has no words and fails.  Null lang or source is a group of its own.  Repeated rows count as often
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from dealmill.llm.common import BLANK, WORD, salted_lookup, stored, whole_text
 
 SPREADS = 6.0
+BACK_OFF = 5.0
 # Rate to (least step above the median, is a low value bad too).  Steps are in the unit of the rate.
 RATES = {
     "symbol_rate": (0.08, False),
@@ -94,16 +96,35 @@ def measure(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
 
 
 def thresholds(measured: DataFrame, spreads: float = SPREADS) -> DataFrame:
-    """(lang, source, <rate>_low, <rate>_high), one row per group, from quartiles by mergeable sketches."""
-    quartiles = measured.groupBy("lang", "source").agg(
-        *(F.percentile_approx(r, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000)).alias(r) for r in RATES)
+    """(lang, source, <rate>_low, <rate>_high), one row per group.
+
+    Quartiles of every group, language and the corpus come from sketches that merge upwards (one ROLLUP).  A
+    language's are mixed with the corpus's, then a group's with its language's, each counting as its rows
+    against ``BACK_OFF`` rows of the level above.  The spread is twice the narrower half of the interquartile range, so
+    junk on one side of the median, up to half of a source, does not widen the bounds that should catch it.
+    """
+    sketched = measured.rollup("lang", "source").agg(
+        F.grouping_id().alias("level"), F.count(F.lit(1)).cast("double").alias("n"),
+        *(F.percentile_approx(r, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.lit(10000)).alias(r) for r in RATES),
+    )
+    named = lambda level, prefix: sketched.where(F.col("level") == level).select(
+        "lang", "source", *(F.col(c).alias(f"{prefix}_{c}") for c in ("n", *RATES))
     )
+    corpus, languages, groups = named(3, "c").drop("lang", "source"), named(1, "l").drop("source"), named(0, "g")
+    # One row for the corpus, one per language: what they add to the group's row.
+    levels = languages.join(F.broadcast(corpus)).withColumnRenamed("lang", "__lang")
+    joined = groups.join(levels, F.col("lang").eqNullSafe(F.col("__lang")))
+
+    def mixed(own: str, above: Column, rate: str, i: int) -> Column:
+        mine, n = F.coalesce(F.get(f"{own}_{rate}", F.lit(i)), above), F.col(f"{own}_n")
+        return (n * mine + F.lit(BACK_OFF) * F.coalesce(above, mine)) / (n + F.lit(BACK_OFF))
+
     bounds = []
     for r, (step, both) in RATES.items():
-        q1, q2, q3 = (F.get(r, F.lit(i)) for i in range(3))
-        reach = F.greatest(F.lit(spreads) * (q3 - q1), F.lit(step))
+        q1, q2, q3 = (mixed("g", mixed("l", F.get(f"c_{r}", F.lit(i)), r, i), r, i) for i in range(3))
+        reach = F.greatest(F.lit(2 * spreads) * F.least(q2 - q1, q3 - q2), F.lit(step))
         bounds += [(q2 - reach if both else F.lit(None).cast("double")).alias(f"{r}_low"), (q2 + reach).alias(f"{r}_high")]
-    return quartiles.select("lang", "source", *bounds)
+    return joined.select("lang", "source", *bounds)
 
 
 def judge(df: DataFrame, spreads: float = SPREADS, **columns: str) -> DataFrame:

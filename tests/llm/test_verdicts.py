@@ -6,7 +6,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from dealmill.llm import queries, secrets, toxicity
+from dealmill.llm import quality_rules, queries, secrets, toxicity
 
 KEY = "Zx9" * 9
 
@@ -78,3 +78,17 @@ def test_a_labelled_id_on_many_rows_is_learnt_once(spark):
     assert "worthless" in landmarks and len(weights) == len(landmarks)
     scores = {r["doc_id"] % 2: r["score"] for r in toxicity.score(df, labels).collect()}
     assert scores[1] > 0.5 > scores[0]
+
+
+def test_junk_in_a_source_does_not_hide_itself(spark):
+    """A source with 40 % junk, and a source of one junk document, lose their junk and nothing else."""
+    rnd = np.random.default_rng(1)
+    words = ["".join(rnd.choice(list("abcdefghij"), rnd.integers(2, 9))) for _ in range(400)]
+    prose = lambda: " ".join(rnd.choice(words, 80))
+    junk = lambda: " ".join(w + "#$%" for w in rnd.choice(words, 80))
+    rows = [(i, junk() if i < 40 else prose(), "en", "mixed") for i in range(100)]
+    rows += [(100 + i, prose(), "en", f"s{i % 4}") for i in range(200)]
+    rows += [(300, junk(), "en", "alone"), (301, prose(), "en", "alone too"), (302, junk(), "xx", "alone"), (303, junk(), None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(df).collect()}
+    assert [i for i, k in kept.items() if k != (not (i < 40 or i in (300, 302, 303)))] == []
