@@ -15,13 +15,15 @@ text is scored.
 
 Single letters that follow one another are read as a word too.  A null or empty text has no words and gets
 the score of no nearness.  Without labels of both kinds, or any word in the labelled texts, every score is 0.
-Repeated rows, null ids and other columns make no difference.  An empty table gives no rows.
+Repeated rows, null ids and other columns, whatever their names, make no difference; of several texts with one
+labelled id the first in order is learnt.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterable
 from functools import lru_cache
 from itertools import combinations
 
@@ -112,24 +114,46 @@ class Nearness:
                 else:
                     self.rows[rows] = np.maximum(self.rows[rows], np.minimum(near, 1.0))
 
+    def _numbers(self, words: list[str]) -> list[int]:
+        """Rows of the words, after new ones among them are learnt in one go."""
+        known = self.known
+        found = list(map(known.get, words))
+        if None in found:
+            new = list({w for w, i in zip(words, found, strict=True) if i is None})
+            if len(known) + len(new) > self.remembered:
+                known.clear()
+                new = list(set(words))
+            self._learn(new)
+            found = list(map(known.get, words))
+        return found
+
+    def of_all(self, texts: Iterable[str]) -> np.ndarray:
+        """Greatest nearness of any word of each text to each landmark, one row per text."""
+        words, starts, of = [], [], []
+
+        def flush() -> None:
+            if words:
+                numbers = self._numbers(words)  # may make the table of rows anew
+                np.maximum.at(block, of, np.maximum.reduceat(self.rows[numbers], starts, axis=0))
+            words.clear(), starts.clear(), of.clear()
+
+        texts = list(texts)
+        block = np.zeros((len(texts), self.rows.shape[1]), np.float32)
+        for i, text in enumerate(texts):
+            text = text.lower()
+            own = set(text.split())
+            own.update("".join(c for c in m[0] if c.isalpha()) for m in _SPELLED.finditer(text))
+            own = list(own)
+            for at in range(0, len(own), _PIECE):
+                starts.append(len(words)), of.append(i)
+                words += own[at : at + _PIECE]
+                if len(words) >= _PIECE:
+                    flush()
+        flush()
+        return block
+
     def of(self, text: str) -> np.ndarray:
-        """Greatest nearness of any word of ``text`` to each landmark."""
-        text = text.lower()
-        words = set(text.split())
-        for m in _SPELLED.finditer(text):
-            words.add("".join(c for c in m[0] if c.isalpha()))
-        best = np.zeros(self.rows.shape[1], np.float32)
-        words = list(words)
-        for at in range(0, len(words), _PIECE):
-            piece = words[at : at + _PIECE]
-            new = [w for w in piece if w not in self.known]
-            if new:
-                if len(self.known) + len(new) > self.remembered:
-                    self.known.clear()
-                    new = piece
-                self._learn(new)
-            best = np.maximum(best, self.rows[[self.known[w] for w in piece]].max(axis=0))
-        return best
+        return self.of_all([text])[0]
 
 
 @lru_cache(maxsize=2)
@@ -186,6 +210,8 @@ def train(df: DataFrame, labels: DataFrame, sample: int = TRAIN_DOCS) -> tuple[l
     chosen = given.where(F.xxhash64("doc_id") <= line).groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     # About ``sample`` rows of two small columns, whatever the size of the table.
     docs = df.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t")).join(F.broadcast(chosen), "doc_id")
+    # One text for each labelled id, however many rows have it.
+    docs = docs.groupBy("doc_id").agg(F.first("toxic").alias("toxic"), F.min("t").alias("t"))
     words = docs.select("toxic", F.explode(F.array_distinct(F.split(F.regexp_replace(F.lower("t"), r"[^\p{L}\s]", ""), r"\s+"))).alias("word"))
     words = words.where(F.length("word").between(3, LONGEST)).groupBy("word").agg(
         F.count_if("toxic").cast("double").alias("a"), F.count_if(~F.col("toxic")).cast("double").alias("b")
@@ -215,8 +241,9 @@ def _near(text: Column, landmarks: list[str], sure: set[str]) -> Column:
     @F.pandas_udf(ArrayType(BinaryType()))
     def near(texts: pd.Series) -> pd.Series:
         of = _nearness(tuple(landmarks))
-        both = ((t, disguised(t, sure)) for t in texts)
-        return pd.Series([[of.of(t).tobytes() for t in pair if t is not None] for pair in both], dtype=object)
+        both = [[t for t in (text, disguised(text, sure)) if t is not None] for text in texts]
+        rows = iter(of.of_all(t for pair in both for t in pair))
+        return pd.Series([[next(rows).tobytes() for _ in pair] for pair in both], dtype=object)
 
     return near(text)
 
@@ -230,7 +257,7 @@ def score(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     @F.pandas_udf(DoubleType())
     def scores(texts: pd.Series) -> pd.Series:
         of = _nearness(tuple(landmarks))
-        z = np.array([np.exp(SHARP * (of.of(t) - 1.0)) @ w for t in texts], float) + b
+        z = (np.exp(SHARP * (of.of_all(texts) - 1.0)) @ w).astype(float) + b
         return pd.Series(1.0 / (1.0 + np.exp(-np.clip(z, -40, 40))))
 
     return docs.select("doc_id", scores(F.col("text")).alias("score"))
