@@ -291,7 +291,7 @@ def _(raw: Views) -> DataFrame:
     return K.union_all(counts)
 
 
-# Tables whose rows have an id of their own to put them in order, and a cell that gets line breaks and quotes.
+# Tables whose rows an id and the first cell put in one order, and a cell that gets line breaks and quotes.
 _ORDERED = ["companies", "deals", "stage_history", "activities", "marketing_costs"]
 _BROKEN = """case when id % 3 = 0 then coalesce(subject, '') || chr(10) || 'said "yes", twice' || chr(13) || chr(10)
     when id % 7 = 0 then '"' || chr(10) || chr(10) || ',"' else subject end"""
@@ -299,7 +299,7 @@ _BROKEN = """case when id % 3 = 0 then coalesce(subject, '') || chr(10) || 'said
 
 def _places_sql(table: str, source: str) -> str:
     cells = ", ".join(f"coalesce({c}, '')" for c in schemas.RAW_COLUMNS[table])
-    return f"select '{table}' as \"table\", row_number() over (order by id) as id, md5(concat_ws('|', {cells})) as cells from {source}"
+    return f"select '{table}' as \"table\", row_number() over (order by id, {schemas.RAW_COLUMNS[table][0]}) as id, md5(concat_ws('|', {cells})) as cells from {source}"
 
 
 def _places(spark: SparkSession, rows: dict[str, DataFrame]) -> DataFrame:
@@ -307,7 +307,8 @@ def _places(spark: SparkSession, rows: dict[str, DataFrame]) -> DataFrame:
     folder = f"{checkpoint_dir(spark)}/extracts-{uuid.uuid4().hex}"
     parts = []
     for table, df in rows.items():
-        in_order = df.repartitionByRange(7, "id").sortWithinPartitions("id").select(*schemas.RAW_COLUMNS[table])
+        key = ["id", schemas.RAW_COLUMNS[table][0]]
+        in_order = df.repartitionByRange(7, *key).sortWithinPartitions(*key).select(*schemas.RAW_COLUMNS[table])
         _write_extract(in_order, f"{folder}/{table}")
         cells = F.concat_ws("|", *(F.coalesce(F.col(c), F.lit("")) for c in schemas.RAW_COLUMNS[table]))
         read = read_extract(spark, table, f"{folder}/{table}")
