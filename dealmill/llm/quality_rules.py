@@ -129,8 +129,9 @@ def thresholds(measured: DataFrame, spreads: float = SPREADS) -> DataFrame:
 
 def judge(df: DataFrame, spreads: float = SPREADS, **columns: str) -> DataFrame:
     """doc_id, counts, base_failed and kept of every row."""
-    measured = stored(measure(df, **columns))  # read for the thresholds and for the verdict
-    bounded = salted_lookup(measured, thresholds(measured, spreads), ["lang", "source"], "doc_id", _SALTS)
+    # Read for the thresholds and for the verdict; rows are told apart by their place, as ids may be null or repeated.
+    measured = stored(measure(df, **columns).withColumn("row", F.monotonically_increasing_id()))
+    bounded = salted_lookup(measured, thresholds(measured, spreads), ["lang", "source"], "row", _SALTS)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     inside = F.lit(True)
     for r in RATES:

@@ -92,3 +92,11 @@ def test_junk_in_a_source_does_not_hide_itself(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
     kept = {r["doc_id"]: r["kept"] for r in quality_rules.judge(df).collect()}
     assert [i for i, k in kept.items() if k != (not (i < 40 or i in (300, 302, 303)))] == []
+
+
+def test_rows_without_ids_are_spread(spark):
+    """A third of all rows without an id: each row has a salt of its own, and every row its verdict."""
+    rows = [(None if i % 3 == 0 else i, f"word{i} " * 3 + "other words here " * 20, "en", "s") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = quality_rules.judge(df).collect()
+    assert len(got) == 300 and sum(r["doc_id"] is None for r in got) == 100
