@@ -471,6 +471,9 @@ def test_sql_gives_the_same_rows(spark, docs, tmp_path, name):
     docs.drop("kind", "h", "size").write.parquet(str(tmp_path / "documents.parquet"))
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    items = docs.select("doc_id", "text").where("doc_id between 3 and 20").withColumnRenamed("doc_id", "item_id")
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    con.execute(f"create view benchmark as select * from '{tmp_path}/benchmark.parquet/*.parquet'")
     want = con.execute(queries.SQL[name])
     names, got = [c[0] for c in want.description], queries.QUERIES[name](spark, str(tmp_path))
     assert sorted(names) == sorted(got.columns)
