@@ -40,18 +40,30 @@ LANDMARKS = 64
 EVIDENCE, SEEN = 4.0, 3
 SPAN, DECAY, SHARP = 6, 0.75, 10.0
 LONGEST = 24
-REMEMBERED = 12_800_000
+REMEMBERED = 25_600_000
 _CELLS = 1 << 22
 _PIECE = 20_000
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W\d_][^\w\s]?\s){3,}[^\W\d_](?!\w)")
 # Signs that stand for letters.
-_LOOKS = str.maketrans("013457@$!", "oieastasi")
+_LOOKS = dict(zip("013457@$!", "oieastasi", strict=True))
+_OUTER = "#*$%&|<>!?.,;:()[]{}\"'-_=+/\\"
+
+
+class _Codes(dict):
+    """Code point to the character whose number is its code; filled as characters are met."""
+
+    def __missing__(self, point: int) -> str:
+        c = _LOOKS.get(chr(point), chr(point))
+        self[point] = "" if c in "-_.*#'" else chr(ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5)
+        return self[point]
+
+
+_CODES = _Codes()
 
 
 def codes(word: str) -> np.ndarray:
     """Letters as 1 to 26, others as 27 to 31; look-alikes as their letters; outer marks left out."""
-    word = word.lower().strip("#*$%&|<>!?.,;:()[]{}\"'-_=+/\\").translate(_LOOKS)
-    return np.array([ord(c) - 96 if "a" <= c <= "z" else 27 + ord(c) % 5 for c in word if c not in "-_.*#'"], np.int64)
+    return np.frombuffer(word.lower().strip(_OUTER).translate(_CODES).encode("latin-1"), np.uint8).astype(np.int64)
 
 
 @lru_cache
