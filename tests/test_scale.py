@@ -34,3 +34,26 @@ def test_numbering_leaves_the_rows_where_they_were_read(spark, tmp_path):
     # The counts of splits may be joined to those of files in any way; the rows are not moved.
     joins = [line for line in plan.splitlines() if "Join" in line and "LeftOuter" in line]
     assert joins and all("BroadcastHashJoin" in line for line in joins) and ids == list(range(1, 51))
+
+
+def test_extracts_are_written_compressed_and_read_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "checkpoint_dir", lambda _: str(tmp_path))
+    raw = Q.Views(spark, "", {})
+    raw |= {t: spark.createDataFrame([], raw_schema(t)) for t in RAW_TABLES} | {"users": _users(spark, 20)}
+    folder = Q._write_extracts(raw, "{table}")
+    assert glob.glob(f"{folder}/users/*.csv.gz") and not glob.glob(f"{folder}/users/*.csv")
+    assert read_extract(spark, "users", f"{folder}/users").count() == 20
+
+
+def test_hashes_of_cells_are_counted_as_bytes(spark):
+    rows = Q._rows({"users": _users(spark, 3).drop("id").unionByName(_users(spark, 2).drop("id"))})
+    assert "unhex" in _plan(rows)
+    assert sorted(r.rows for r in rows.collect()) == [1, 2, 2] and all(len(r.cells) == 32 for r in rows.collect())
+
+
+def test_files_of_an_extract_follow_its_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "_FILE_ROWS", 10, raising=False)
+    monkeypatch.setattr(Q, "checkpoint_dir", lambda _: str(tmp_path))
+    found = Q._places(spark, {"users": _users(spark, 200)})
+    assert len(glob.glob(f"{tmp_path}/extracts-*/users/part-*")) > 7
+    assert sorted(r.id for r in found.collect()) == list(range(1, 201))
