@@ -57,3 +57,20 @@ def test_files_of_an_extract_follow_its_rows(spark, tmp_path, monkeypatch):
     found = Q._places(spark, {"users": _users(spark, 200)})
     assert len(glob.glob(f"{tmp_path}/extracts-*/users/part-*")) > 7
     assert sorted(r.id for r in found.collect()) == list(range(1, 201))
+
+
+def test_counts_of_issues_carry_no_text(spark):
+    raw = {t: spark.createDataFrame([], raw_schema(t)) for t in RAW_TABLES}
+    raw["payments"] = spark.createDataFrame([(1, "PAY1", "D9", "01.02.2024", "5", "full", "paid")], raw_schema("payments"))
+    tables = TypedTables(raw)
+    counted = R.quality_by_type(tables)
+    assert "payment_date=" not in _plan(counted)
+    assert [tuple(r) for r in counted.collect()] == [("orphan_deal", "quarantined", 1)]
+    assert [(r.entity_id, r.details) for r in tables["data_quality_issues"].collect()] == [("PAY1", "D9")]
+
+
+def test_case_of_a_channel_is_folded_once(spark):
+    cells = spark.createDataFrame([("АВИТО",), ("Website",), (None,)], "source string")
+    cleaned = N.clean(cells, {"source": N.CHANNEL})
+    assert _plan(cleaned).count("lower(") == 1
+    assert [r["source__v"] for r in cleaned.collect()] == ["avito", "website", None]
