@@ -1,11 +1,18 @@
 """What must not grow: rows moved to number them, text carried by counts, extract files of a fixed number."""
 
 import glob
+import threading
+from datetime import datetime
+
+import pytest
 
 from dealmill.functions import normalize as N
+from dealmill.operators import constraints as K
+from dealmill.plans import catalog
 from dealmill.plans import reports as R
 from dealmill.plans.load import TypedTables
-from dealmill.schemas import RAW_TABLES, raw_schema
+from dealmill.schemas import CORE_SCHEMAS, RAW_TABLES, raw_schema
+from dealmill.session import at_once
 from dealmill.sources.extracts import read_extract
 from workload import queries as Q
 
@@ -74,3 +81,72 @@ def test_case_of_a_channel_is_folded_once(spark):
     cleaned = N.clean(cells, {"source": N.CHANNEL})
     assert _plan(cleaned).count("lower(") == 1
     assert [r["source__v"] for r in cleaned.collect()] == ["avito", "website", None]
+
+
+def _small_load(spark):
+    """Raw tables with an orphan, an older version of a deal and copies of kept and orphaned events."""
+    rows = {
+        "deals": [
+            (1, "D1", "t", "2024-01-01", "2024-01-02", "NEW", None, None, None, "Avito", "5", None, None, None, None),
+            (2, "D1", "t", "2024-01-01", "2024-01-03", "NEW", None, None, None, "Avito", "5", None, None, None, None),
+        ],
+        "payments": [(1, "PAY1", "D9", "01.02.2024", "5", "full", "paid"), (2, "PAY2", "D1", "01.02.2024", "5", "what", "paid")],
+        "stage_history": [(i, "E1", "D1", None, "NEW", "2024-01-01", "U9") for i in (1, 2, 3)]
+        + [(i, "E2", "D9", None, "NEW", "2024-01-01", None) for i in (4, 5)],
+    }
+    return {t: spark.createDataFrame(rows.get(t, []), raw_schema(t)) for t in RAW_TABLES}
+
+
+class Tallied(dict):
+    """Typed tables with counts beside them."""
+
+    def __init__(self, tables, tally):
+        super().__init__(tables)
+        self.tally = tally
+
+
+def test_entities_are_derived_once_for_rows_and_issues(spark):
+    raw = _small_load(spark)
+    tables = TypedTables(raw)
+    plan = _plan(R.quality_by_type(tables))
+    assert "explode" not in plan and plan.count("PAY1") <= 1
+    held = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    plain = {t: held(df) for t, df in tables.items()}
+    tallied = Tallied({t: spark.createDataFrame([], df.schema) for t, df in plain.items()} | {"sources": plain["sources"]}, held(tables.tally))
+    for count in (
+        R.quality_by_type, R.quality_by_action, R.quality_total, R.quality_pivot, catalog.table_counts, K.run_summary,
+        lambda core: K.reconcile_counts(raw, core, core["data_quality_issues"]).orderBy("table"),
+    ):
+        assert [tuple(r) for r in count(tallied).collect()] == [tuple(r) for r in count(plain).collect()]
+    by_type = {(r.issue_type, r.action): r["count"] for r in R.quality_by_type(tallied).collect()}
+    assert by_type[("duplicate_event", "quarantined")] == 2 and by_type[("orphan_deal", "quarantined")] == 3
+    assert by_type[("duplicate_deal", "quarantined")] == 1 and sum(by_type.values()) == plain["data_quality_issues"].count()
+
+
+def test_log_is_not_derived_again_to_find_its_ranges(spark):
+    rows = [(i, "deal", f"D{9 - i}", "missing_manager", "flagged", None, datetime(2024, 1, 1)) for i in range(5)]
+    listed = R.issue_list({"data_quality_issues": spark.createDataFrame(rows, CORE_SCHEMAS["data_quality_issues"])})
+    assert "RepartitionByExpression" in _plan(listed)
+    assert [r.id for r in listed.collect()] == [4, 3, 2, 1, 0]
+
+
+def test_tables_are_written_at_once():
+    both = threading.Barrier(2)
+    at_once(lambda name: both.wait(30), ["a", "b"])
+
+    def fail(name):
+        raise ValueError(name)
+
+    with pytest.raises(ValueError):
+        at_once(fail, [str(i) for i in range(20)])
+
+
+def test_patterns_of_dates_are_tried_by_their_signs(spark):
+    cells = [" 2024-02-01 ", "2024/2/1", "01.02.2024", "1.2.2024 \t 7:05", "2024-02-01t07:05:00+0500", "2024-02-01T07:05:00Z", "2024-02-30",
+             "01.02.2024 7:5:3", "2024.02/01", "2024-02-01T07:05:00.5Z", "0000-01-01", "не дата", "", None]
+    cleaned = N.clean(spark.createDataFrame([(c,) for c in cells], "d string"), {"d": N.TIMESTAMP})
+    found = [str(r["d__v"])[5:16] if r["d__v"] else None for r in cleaned.selectExpr("cast(d__v as timestamp_ntz) as d__v").collect()]
+    early, odd = "01-31 19:00", [r["d__nonstandard"] for r in cleaned.collect()]
+    assert found == [early, early, early, "02-01 02:05", "02-01 02:05", "02-01 07:05"] + [None] * 8
+    assert odd == [False, True, True, True, False, False, True, True, True, True, True, True, False, False]
+    assert "Contains" in _plan(cleaned) and "regexp_replace" not in _plan(cleaned)
