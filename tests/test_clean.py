@@ -113,3 +113,10 @@ def test_codes(spark):
     assert cleaned(spark, PAYMENT_TYPES, cells, "v", "invalid") == [
         ("full", False), ("full", False), (None, True), (None, True), (None, False), (None, False)
     ]
+
+
+def test_blanks_at_either_end_are_all_stripped(spark):
+    cells = [a + "x y" + b for blank in N.WHITESPACE for a, b in [(blank, ""), ("", blank), (blank * 2, "\u0416" + blank)]]
+    cells += ["!", "~", "\x7f", "\x7fa", "a\x7f", "\u0416", "a\u0416", "\u0416a", "\x1ba\x1b", "", *N.WHITESPACE]
+    assert cleaned(spark, N.TEXT, cells, "v") == [c.strip(N.WHITESPACE) or None for c in cells]
+    assert "substring" in N.text_or_null("c")

@@ -10,10 +10,12 @@ from dealmill.functions import normalize as N
 from dealmill.operators import constraints as K
 from dealmill.plans import catalog
 from dealmill.plans import reports as R
+from dealmill.operators.lookup import Spread
 from dealmill.plans.load import TypedTables
-from dealmill.schemas import CORE_SCHEMAS, RAW_TABLES, raw_schema
+from dealmill.schemas import CORE_SCHEMAS, RAW_COLUMNS, RAW_TABLES, raw_schema
 from dealmill.session import at_once
 from dealmill.sources.extracts import read_extract
+from dealmill.sources.store import TableStore
 from workload import queries as Q
 
 
@@ -150,3 +152,36 @@ def test_patterns_of_dates_are_tried_by_their_signs(spark):
     assert found == [early, early, early, "02-01 02:05", "02-01 02:05", "02-01 07:05"] + [None] * 8
     assert odd == [False, True, True, True, False, False, True, True, True, True, True, True, False, False]
     assert "Contains" in _plan(cleaned) and "regexp_replace" not in _plan(cleaned)
+
+
+def test_log_is_laid_out_by_its_ids_without_a_sample(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    log = spark.range(1, 8).orderBy("id", ascending=False).selectExpr(
+        "id", "'deal' as entity", "concat('D', id) as entity_id", "'orphan_deal' as issue_type",
+        "'quarantined' as action", "cast(null as string) as details", "timestamp'2026-01-01' as detected_at",
+    )
+    version = store.begin_version()
+    version.write_log(log, 7, rows_per_file=3)
+    files = sorted(glob.glob(f"{tmp_path}/core/{version.name}/data_quality_issues/part-*"))
+    assert [[r.id for r in spark.read.parquet(f).collect()] for f in files] == [[1, 2, 3], [4, 5, 6], [7]]
+    assert version.figures["core"]["data_quality_issues"]["rows"] == 7 and version.issues == [["orphan_deal", "quarantined", 7]]
+    empty = store.begin_version()
+    empty.write_log(log.where("id < 0"), 0)
+    assert empty.figures["core"]["data_quality_issues"]["rows"] == 0 and empty.issues == []
+
+
+def test_issues_of_displaced_rows_are_derived_once_by_a_load(spark, tmp_path):
+    raw = {t: spark.createDataFrame([], raw_schema(t)) for t in RAW_TABLES}
+    cells = {"deal_id": "'D1'", "updated_at": "concat('2026-01-0', id)"}
+    raw["deals"] = spark.range(1, 4).selectExpr("id", *(f"{cells.get(c, 'cast(null as string)')} as {c}" for c in RAW_COLUMNS["deals"]))
+    kept = []
+
+    def keep(df):
+        path = str(tmp_path / str(len(kept)))
+        df.write.parquet(path)
+        kept.append(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    displaced = TypedTables(raw, Spread(keep=keep)).result("deals").displaced
+    assert sorted(r.details[:17] for r in displaced.collect()) == ["replaced row id=1", "replaced row id=2"]
+    assert "Relation" in _plan(displaced) and "Join" not in _plan(displaced)
