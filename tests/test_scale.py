@@ -12,7 +12,7 @@ from dealmill.plans import catalog
 from dealmill.plans import reports as R
 from dealmill.operators.lookup import Spread
 from dealmill.plans.load import TypedTables
-from dealmill.schemas import CORE_SCHEMAS, RAW_COLUMNS, RAW_TABLES, raw_schema
+from dealmill.schemas import CONSTRAINTS, CORE_SCHEMAS, RAW_COLUMNS, RAW_TABLES, raw_schema
 from dealmill.session import at_once
 from dealmill.sources.extracts import read_extract
 from dealmill.sources.store import TableStore
@@ -154,6 +154,19 @@ def test_patterns_of_dates_are_tried_by_their_signs(spark):
     assert "Contains" in _plan(cleaned) and "regexp_replace" not in _plan(cleaned)
 
 
+def test_constraints_read_every_table_once(spark, tmp_path):
+    nulls = ", ".join(f"cast(null as {f.dataType.simpleString()}) as {f.name}" for f in CORE_SCHEMAS["payments"])
+    spark.sql(f"select {nulls} from range(3)").write.parquet(str(tmp_path / "payments"))
+    spark.sql("select 'D1' as deal_id").write.parquet(str(tmp_path / "deals"))
+    tables = {t: spark.read.parquet(str(tmp_path / t)) for t in ("payments", "deals")}
+    found = K.check_constraints(tables, {"payments": CONSTRAINTS["payments"]})
+    assert _plan(found).count("Relation") == 2
+    # More checks than there are slots, all broken by every row.
+    broken = {r.constraint: r.violations for r in found.collect()}
+    not_null = CONSTRAINTS["payments"].not_null
+    assert len(not_null) > 2 and {c: n for c, n in broken.items() if n} == {f"{c}_not_null": 3 for c in not_null}
+
+
 def test_log_is_laid_out_by_its_ids_without_a_sample(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     log = spark.range(1, 8).orderBy("id", ascending=False).selectExpr(
