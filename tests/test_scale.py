@@ -11,6 +11,8 @@ from dealmill.operators import constraints as K
 from dealmill.plans import catalog
 from dealmill.plans import reports as R
 from dealmill.operators.lookup import Spread
+from dealmill.operators.rules import numbered_log
+from dealmill.plans import load as load_module
 from dealmill.plans.load import TypedTables
 from dealmill.schemas import CONSTRAINTS, CORE_SCHEMAS, RAW_COLUMNS, RAW_TABLES, raw_schema
 from dealmill.session import at_once
@@ -198,3 +200,40 @@ def test_issues_of_displaced_rows_are_derived_once_by_a_load(spark, tmp_path):
     displaced = TypedTables(raw, Spread(keep=keep)).result("deals").displaced
     assert sorted(r.details[:17] for r in displaced.collect()) == ["replaced row id=1", "replaced row id=2"]
     assert "Relation" in _plan(displaced) and "Join" not in _plan(displaced)
+
+
+def test_log_is_shuffled_once_and_numbered_in_its_order(spark, tmp_path):
+    rows = spark.range(400).selectExpr(
+        "if(id % 2 = 0, 'deal', 'payment') as entity", "if(id % 9 = 0, null, concat('D', id % 30)) as entity_id",
+        "'orphan_deal' as issue_type", "'quarantined' as action", "concat('row ', id % 3) as details",
+    )
+    rows.write.parquet(str(tmp_path / "issues"))
+    stored = spark.read.parquet(str(tmp_path / "issues"))
+    log = numbered_log([stored, stored.where("entity_id is null")], 5)
+    version = TableStore(spark, str(tmp_path / "w")).begin_version()
+    version.write_log(log)
+    order = ["entity", "entity_id", "issue_type", "action", "details"]
+    files = sorted(glob.glob(f"{tmp_path}/w/core/{version.name}/data_quality_issues/part-*"))
+    found = [r for f in files for r in spark.read.parquet(f).collect()]
+    assert len(files) > 1 and [r.id for r in found] == list(range(1, 446))
+    key = lambda r: [(r[c] is not None, r[c] or "") for c in order]
+    assert [key(r) for r in found] == sorted(map(key, rows.collect() + rows.where("entity_id is null").collect()))
+    # The rows that are counted per task and those that are sorted come from one shuffle.
+    log.collect()
+    final = log._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("+- Exchange rangepartitioning") == 1
+    empty = version.store.begin_version()
+    empty.write_log(numbered_log([stored.where("entity = 'none'")], 5))
+    assert empty.figures["core"]["data_quality_issues"]["rows"] == 0 and empty.issues == []
+
+
+def test_the_largest_tables_of_a_load_are_begun_first(spark, tmp_path, monkeypatch):
+    begun = []
+    monkeypatch.setattr(load_module, "at_once", lambda job, names: [begun.append(n) or job(n) for n in names])
+    raw = _small_load(spark)
+    monkeypatch.setattr(load_module, "read_extracts", lambda spark, extracts: raw)
+    version = TableStore(spark, str(tmp_path)).begin_version()
+    load_module._write_version(spark, version, "", {})
+    assert begun[len(RAW_TABLES):][:3] == ["stage_history", "deals", "payments"]
+    assert sorted(begun[len(RAW_TABLES):]) == sorted(t for t in CORE_SCHEMAS if t != "data_quality_issues")
+    assert sorted(r.id for r in version.tables()["data_quality_issues"].collect()) == list(range(1, version.figures["core"]["data_quality_issues"]["rows"] + 1))
