@@ -237,3 +237,10 @@ def test_the_largest_tables_of_a_load_are_begun_first(spark, tmp_path, monkeypat
     assert begun[len(RAW_TABLES):][:3] == ["stage_history", "deals", "payments"]
     assert sorted(begun[len(RAW_TABLES):]) == sorted(t for t in CORE_SCHEMAS if t != "data_quality_issues")
     assert sorted(r.id for r in version.tables()["data_quality_issues"].collect()) == list(range(1, version.figures["core"]["data_quality_issues"]["rows"] + 1))
+
+
+def test_late_orders_are_told_without_writing_the_cleaning_out_in_a_filter(spark):
+    cells = {t: [f"cast(id as string) as {c}" for c in RAW_COLUMNS[t]] for t in RAW_TABLES}
+    tables = TypedTables({t: spark.range(3).selectExpr("id", *cells[t]) for t in RAW_TABLES})
+    orders = [_plan(tables["production_orders"]), _plan(R.production_delays(tables))]
+    assert len(orders[1]) < 5 * len(orders[0])
