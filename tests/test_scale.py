@@ -1,10 +1,13 @@
 """What must not grow: rows moved to number them, text carried by counts, extract files of a fixed number."""
 
 import glob
+import re
 import threading
+import time
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from dealmill.functions import normalize as N
 from dealmill.operators import constraints as K
@@ -15,7 +18,7 @@ from dealmill.operators.rules import numbered_log
 from dealmill.plans import load as load_module
 from dealmill.plans.load import TypedTables
 from dealmill.schemas import CONSTRAINTS, CORE_SCHEMAS, RAW_COLUMNS, RAW_TABLES, raw_schema
-from dealmill.session import at_once
+from dealmill.session import at_once, shuffles_dropped
 from dealmill.sources.extracts import read_extract
 from dealmill.sources.store import TableStore
 from workload import queries as Q
@@ -244,3 +247,70 @@ def test_late_orders_are_told_without_writing_the_cleaning_out_in_a_filter(spark
     tables = TypedTables({t: spark.range(3).selectExpr("id", *cells[t]) for t in RAW_TABLES})
     orders = [_plan(tables["production_orders"]), _plan(R.production_delays(tables))]
     assert len(orders[1]) < 5 * len(orders[0])
+
+
+def test_a_load_drops_what_it_is_done_with(spark, tmp_path, monkeypatch):
+    raw = Q.Views(spark, "", {})
+    raw |= _small_load(spark)
+    monkeypatch.setattr(Q, "checkpoint_dir", lambda _: str(tmp_path))
+    monkeypatch.setattr(load_module, "checkpoint_dir", lambda _: str(tmp_path / "work"))
+    seen, write_log = [], load_module.Version.write_log
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    def log(version, *args):
+        seen.append((spark.conf.get(setting), sorted(spark.read.parquet(glob.glob(f"{tmp_path}/work/*/*")[0]).columns)))
+        seen.append(len(glob.glob(f"{tmp_path}/work/*")))
+        write_log(version, *args)
+
+    monkeypatch.setattr(load_module.Version, "write_log", log)
+    store = Q._published(raw)
+    # While the log is written, one work area of issues is left; then nothing but the stored tables.
+    assert seen == [("true", ["action", "details", "entity", "entity_id", "issue_type"]), 1]
+    assert spark.conf.get(setting) == "false" and not glob.glob(f"{tmp_path}/work/*") and not glob.glob(f"{tmp_path}/extracts-*")
+    assert store.raw("payments").count() == 2 and store.verify().where("not intact").isEmpty()
+    assert glob.glob(f"{tmp_path}/warehouse-*/core/*/deals/*.zstd.parquet")
+
+
+def test_shuffle_files_of_a_load_go_with_their_query(spark, tmp_path):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def files():
+        return {f for folder in folders for f in glob.glob(f"{folder}/*/shuffle_*")}
+
+    before = files()
+    spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "left"))
+    left = files()
+    assert left - before
+    with shuffles_dropped(spark):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "dropped"))
+    for _ in range(50):
+        if files() <= left:
+            break
+        time.sleep(0.2)
+    assert files() <= left and spark.read.parquet(str(tmp_path / "dropped")).count() == 1000
+
+
+def test_very_large_tables_of_a_load_take_turns(spark, tmp_path, monkeypatch):
+    together = []
+    monkeypatch.setattr(load_module, "at_once", lambda job, names: [together.append(n) or job(n) for n in names])
+    monkeypatch.setattr(load_module, "ROWS_AT_ONCE", 1)
+    raw = _small_load(spark)
+    monkeypatch.setattr(load_module, "read_extracts", lambda spark, extracts: raw)
+    version = TableStore(spark, str(tmp_path)).begin_version()
+    load_module._write_version(spark, version, "", {})
+    assert not {"stage_history", "deals", "payments"} & set(together[len(RAW_TABLES):]) and "users" in together[len(RAW_TABLES):]
+    assert {t: version.figures["core"][t]["rows"] for t in ("stage_history", "deals", "payments")} == {"stage_history": 1, "deals": 1, "payments": 1}
+
+
+def test_a_load_moves_texts_and_a_count_moves_checks(spark):
+    cells = {t: [f"concat(id, '{t}') as {c}" for c in RAW_COLUMNS[t]] for t in RAW_TABLES}
+    raw = {t: spark.range(3).selectExpr("id", *cells[t]) for t in RAW_TABLES}
+
+    def moved(df):
+        """What stands below the join of payments to deals on the side of payments."""
+        return _plan(df).split("Join LeftOuter")[1].split("Aggregate [deal_id")[0]
+
+    lazy = moved(TypedTables(raw).result("payments").issues.select("entity_id", "issue_type"))
+    assert re.search(r"Project \[payment_id#\d+, deal_id#\d+, \(", lazy) and "AS _checks" in lazy
+    loaded = load_module.build("payments", raw, load_module.Parents(raw), Spread(keep=lambda df: df))
+    assert "payment_type__v" not in moved(loaded.marked)
