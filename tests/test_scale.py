@@ -314,3 +314,25 @@ def test_a_load_moves_texts_and_a_count_moves_checks(spark):
     assert re.search(r"Project \[payment_id#\d+, deal_id#\d+, \(", lazy) and "AS _checks" in lazy
     loaded = load_module.build("payments", raw, load_module.Parents(raw), Spread(keep=lambda df: df))
     assert "payment_type__v" not in moved(loaded.marked)
+
+
+def test_rows_are_reconciled_in_one_pass_of_each_entity(spark):
+    raw = _small_load(spark)
+    tables = TypedTables(raw)
+    found = K.reconcile_rows(raw, tables, tables["data_quality_issues"])
+    assert "explode" not in _plan(found)
+    held = lambda df: spark.createDataFrame(df.collect(), df.schema)
+    plain = {t: held(df) for t, df in tables.items()}
+    expected = K.reconcile_rows(raw, plain, plain["data_quality_issues"])
+    assert found.columns == expected.columns
+    rows = sorted(tuple(r) for r in found.collect())
+    assert rows == sorted(tuple(r) for r in expected.collect()) and len(rows) == len(RAW_TABLES)
+    assert ("stage_history", 5, 1, 4, True, True) in rows and ("deals", 2, 1, 1, True, True) in rows
+    # A raw row more, and another key, are seen.
+    more = raw | {"payments": raw["payments"].unionByName(raw["payments"].limit(1))}
+    other = raw | {"payments": raw["payments"].withColumn("payment_id", F.concat("payment_id", F.lit("x")))}
+    flags = [
+        {r.table: (r.balanced, r.same_keys) for r in K.reconcile_rows(x, tables, tables["data_quality_issues"]).collect()}["payments"]
+        for x in (more, other)
+    ]
+    assert flags == [(False, False), (True, False)]
